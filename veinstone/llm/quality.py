@@ -107,7 +107,7 @@ RULES = (
     Rule("too_short", lambda t, m: m["n_words"] < 10, "n_words < 10"),
     Rule("symbols", lambda t, m: 10 * m["n_symbols"] > m["n_words"], "10 * n_symbols > n_words"),
     Rule("word_length", lambda t, m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"]), "(word_chars < 2 * n_words or word_chars > 15 * n_words)"),
-    Rule("duplicate_lines", lambda t, m: 100 * m["n_dup_lines"] > 30 * F.size(lines_of(t)), "100 * n_dup_lines > 30 * n_lines"),
+    Rule("duplicate_lines", lambda t, m: 2 * m["n_dup_lines"] > F.size(lines_of(t)), "2 * n_dup_lines > n_lines"),
     Rule("few_letters", lambda t, m: 2 * F.length(F.regexp_replace(F.coalesce(t, F.lit("")), r"\P{L}+", "")) < m["word_chars"], "2 * n_letters < word_chars"),
     Rule("repeated_words", lambda t, m: 100 * m["n_repeat_words"] > 20 * m["n_words"], "100 * n_repeat_words > 20 * n_words"),
 )
