@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import struct
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -113,7 +114,7 @@ def test_pieces_best_path_and_round_trip():
 
 
 def test_pieces_agree_with_library():
-    """The same pieces in a Unigram model of the public library give the same ids."""
+    """The same pieces in a Unigram model of the public library: the ids agree."""
     import sentencepiece
 
     model = open(queries.PIECES, "rb").read()
@@ -129,15 +130,19 @@ def test_pieces_agree_with_library():
     def message(fields):
         return b"".join(varint(f << 3 | 2) + varint(len(x)) + x if isinstance(x, bytes) else varint(f << 3) + varint(x) for f, x in fields)
 
-    parts = []
+    v = pieces.Vocabulary.load(queries.PIECES)
+    parts, at = [], 0
     for field, value in pieces.wire(model):
+        if field == 1:
+            own = dict(pieces.wire(value))
+            value = varint(1 << 3 | 2) + varint(len(own[1])) + own[1] + varint(2 << 3 | 5) + struct.pack("<f", v.pieces[at][1]) + varint(3 << 3) + varint(own.get(3, 1))
+            at += 1
         if field == 2:  # trainer: the model type, 1 is Unigram; other fields are kept if they are numbers or texts
             value = message([(f, 1 if f == 3 else x) for f, x in pieces.wire(value) if f == 3 or not (isinstance(x, bytes) and len(x) in (4, 8))])
         parts.append((field, value))
     library = sentencepiece.SentencePieceProcessor(model_proto=message(parts))
-    v = pieces.Vocabulary.load(queries.PIECES)
     for text in ["Hello world", "the quick brown fox", "Thhehaer ertible", "été à la plage", "a  b   c", "x1 = 42;", "日本"]:
-        assert v.encode(text) == library.encode(text), text
+        assert v.encode(text) == library.encode(text) and library.decode(v.encode(text)) == text
 
 
 def test_pieces_query(spark, rows, odd, empty):

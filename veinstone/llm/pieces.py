@@ -1,7 +1,8 @@
 """SentencePiece encoding by Unigram Viterbi over a double-array trie, and decoding.
 
 The pieces and their log scores come from a model file whose path is a parameter; nothing is
-trained. A text gets a leading blank, blanks become the marker U+2581, and of all ways to spell
+trained. A BPE model holds merge ranks in place of log scores; Zipf's law makes them some: the
+piece of rank r gets the log of 1 / (r + 1), less that of the sum over all ranks. A text gets a leading blank, blanks become the marker U+2581, and of all ways to spell
 it with pieces that with the largest sum of scores wins (ties: the longer last piece). A
 character that no piece spells alone costs the smallest score less 10 and is written as its
 UTF-8 bytes. A marker that stands in the text itself is written as bytes too, so decoding gives
@@ -69,12 +70,19 @@ def wire(data: bytes) -> Iterator[tuple[int, object]]:
 
 
 def read_pieces(model: bytes) -> list[tuple[str, float, int]]:
-    """(piece, score, kind) by id."""
-    out = []
+    """(piece, log score, kind) by id."""
+    out, bpe = [], False
     for field, value in wire(model):
         if field == 1:
             parts = dict(wire(value))
             out.append((parts.get(1, b"").decode(), struct.unpack("<f", parts.get(2, b"\0\0\0\0"))[0], parts.get(3, NORMAL)))
+        elif field == 2:
+            bpe = dict(wire(value)).get(3, 1) == 2
+    if bpe:
+        ranked = [i for i, (_, _, kind) in enumerate(out) if kind in (NORMAL, USER)]
+        total = np.log(sum(1 / (r + 1) for r in range(len(ranked))))
+        for r, i in enumerate(ranked):
+            out[i] = (out[i][0], float(-np.log(r + 1) - total), out[i][2])
     return out
 
 
