@@ -96,7 +96,8 @@ def word_in(text: Column, words: list[str]) -> Column:
     """Whether one of the words stands in the text by itself."""
     import re
 
-    return F.lower(blank(text)).rlike(r"\b(" + "|".join(map(re.escape, words)) + r")\b")
+    # letters of any script are part of words in every engine that this is compared with
+    return F.lower(blank(text)).rlike(r"(^|[^\p{L}\p{N}_])(" + "|".join(map(re.escape, words)) + r")([^\p{L}\p{N}_]|$)")
 
 
 def inverted_index_text(index: Column) -> Column:
