@@ -29,8 +29,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind; n_chars follows a changed text."""
-    clean = pii.redact(docs.withColumn("_was", F.length("text")))
-    changed = F.length("text") != F.col("_was")
+    clean = pii.redact(docs.withColumn("__was", F.length("text")))
+    changed = F.length("text") != F.col("__was")
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return clean.select(*docs.columns)

@@ -50,8 +50,8 @@ def poisson_quantile(u: Column, mean: Column) -> Column:
 
 def counts(docs: DataFrame, rates: DataFrame, seed: int = 0, key: str = "doc_id", source: str = "source") -> DataFrame:
     """docs with rate (mean repetition rate) and n_copies."""
-    rates = rates.select(F.col("source").alias("_source"), F.col("rate"))
-    joined = docs.drop("rate", "n_copies").join(rates, docs[source].eqNullSafe(rates["_source"]), "left").drop("_source")
+    rates = rates.select(F.col("source").alias("__source"), F.col("rate"))
+    joined = docs.drop("rate", "n_copies").join(rates, docs[source].eqNullSafe(rates["__source"]), "left").drop("__source")
     rate = F.coalesce(F.col("rate"), F.lit(0.0))
     parts = F.greatest(F.ceil(rate / PART), F.lit(1)).cast("int")
     one = lambda i: bind(hashed_uniform(F.lit(seed), F.col(key), i), lambda u: poisson_quantile(u, rate / parts))
