@@ -14,11 +14,12 @@ text are filled almost surely (else up to double that time).
 
 Candidates share the key of one of BANDS bands of ROWS components (missing a pair at similarity
 0.8: 2e-5). Texts with equal words are one class before that. In each bucket every text is
-verified against the bucket's first; the components that arise are joined; buckets that still
-hold more than one component have their other pairs across components estimated from the whole
-signatures, in tiles of bounded size, and those above ESTIMATE (over five standard deviations
-below 0.8) are verified too. So no pair that shares a bucket is left unlooked at, and a group of
-any number of copies costs one verification per member and bucket.
+verified against the bucket's first; the components that arise are joined. Buckets that still
+hold more than one component go through tiles of bounded size: first their signatures say which
+texts may be similar to one of another component (estimate of at least ESTIMATE, over five
+standard deviations below 0.8), then these texts' multisets are compared, and links that join
+components are returned. So no pair that shares a bucket is left unlooked at, pairs are never
+emitted, and a group of any number of copies costs one verification per member and bucket.
 
 Defined results: a null text or one without words is in no class but its own (class_id is the
 least key of its rows); ties go to the least key; rows with equal key and words are one row
@@ -45,7 +46,7 @@ COMPONENTS = BANDS * ROWS
 SIMILAR = 0.8
 ESTIMATE = 0.65
 #: Rows of a bucket that one task compares with as many others.
-TILE = 1024
+TILE = 512
 GOLD = 0x9E3779B97F4A7C15
 
 
@@ -137,7 +138,7 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in chunks(batches, "text", 6 << 20, 2048):
+    for rows in chunks(batches, "text", 3 << 20, 1024):
         owner, items, weights, digests = shingles(texts_of(rows, "text"))
         times = bag_minhash(owner, items, weights, rows.num_rows)
         yield pa.RecordBatch.from_arrays(
@@ -173,20 +174,41 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _across(table: pa.Table) -> pa.Table:
-    """Pairs of a tile, of different components, that the signatures say may be similar."""
+    """The rows of a tile that the signatures say may be similar to a row of another component."""
     ids, roots, weights = (table.column(c).to_numpy() for c in ("id", "root", "weight"))
     chunk, i, j = table.column("chunk").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
     signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.int32).reshape(len(ids), COMPONENTS)
     left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-    out = []
+    open_ = np.zeros(len(ids), bool)
     for x in left:
-        y = right[(roots[right] != roots[x]) & (ids[right] > ids[x])] if i == j else right[roots[right] != roots[x]]
-        y = y[(10 * np.minimum(weights[y], weights[x]) >= 8 * np.maximum(weights[y], weights[x]))]
+        y = right[(roots[right] != roots[x]) & (10 * np.minimum(weights[right], weights[x]) >= 8 * np.maximum(weights[right], weights[x]))]
         if len(y):
             y = y[(signs[y] == signs[x]).sum(1) >= ESTIMATE * COMPONENTS]
-            out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])], 1))
-    found = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pa.array(found[:, 0].astype(np.int64)), "b": pa.array(found[:, 1].astype(np.int64))})
+            open_[y] = True
+            open_[x] |= len(y) > 0
+    return table.select(["band", "i", "j", "chunk", "id", "root"]).filter(pa.array(open_))
+
+
+def _settle(table: pa.Table) -> pa.Table:
+    """Links that join the components of a tile's texts, verified one by one; no more links than joins."""
+    ids, roots, chunk = (table.column(c).to_numpy() for c in ("id", "root", "chunk"))
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    texts = table.column("text").combine_chunks()
+    owner, items, weights, _ = shingles(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
+    distinct, code = np.unique(items, return_inverse=True)
+    n = len(ids)
+    place, total = np.searchsorted(owner, np.arange(n + 1)), np.bincount(owner, weights, n)
+    group, marks, out = roots.copy(), np.zeros(len(distinct)), []
+    for x in np.flatnonzero(chunk == i):
+        mine = slice(place[x], place[x + 1])
+        marks[code[mine]] = weights[mine]
+        common = np.bincount(owner, np.minimum(marks[code], weights), n)
+        marks[code[mine]] = 0
+        for y in np.flatnonzero((chunk == j) & (group != group[x]) & (10 * common >= 8 * (total + total[x] - common))):
+            if group[y] != group[x]:
+                out.append((ids[x], ids[y]))
+                group[group == group[y]] = group[x]
+    return pa.table({"a": pa.array([min(p) for p in out], pa.int64()), "b": pa.array([max(p) for p in out], pa.int64())})
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,8 +233,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     open_ = labelled.join(mixed, "band", "left_semi").join(reps.select("id", "signature"), "id").withColumn("chunk", F.pmod(F.xxhash64("id"), tiles).cast("int"))
     spread = open_.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other"))
-    rest = spread.select("band", "i", "j", "chunk", "id", "root", "weight", "signature").groupBy("band", "i", "j").applyInArrow(_across, "a long, b long").distinct()
-    more = written(verified(rest, texts), "other-links")
+    rest = spread.select("band", "i", "j", "chunk", "id", "root", "weight", "signature").groupBy("band", "i", "j").applyInArrow(_across, "band long, i int, j int, chunk int, id long, root long")
+    unsettled = written(rest, "unsettled").join(texts, "id").select("band", "i", "j", "chunk", "id", "root", "text")
+    more = written(unsettled.groupBy("band", "i", "j").applyInArrow(_settle, "a long, b long").distinct(), "other-links")
     joined = components(links.union(more))
     rep_class = reps.select("d1", "d2", "id").join(joined, F.col("id") == F.col("node"), "left").select("d1", "d2", F.coalesce("root", "id").alias("class_id"))
     worded = signed.where("weight > 0").select("id", "d1", "d2").distinct().join(rep_class, ["d1", "d2"]).select(F.col("id").alias(key), "class_id")
@@ -222,8 +245,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one row of each class: that of the least key (of repeated keys one row)."""
-    kept = classes(docs, key, text).where(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("_kept")).distinct()
-    counted = kept.join(docs.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")), F.col("_kept").eqNullSafe(F.col("_key"))).select("_kept", "_n")
-    rows = docs.join(counted, F.col(key).eqNullSafe(F.col("_kept")))
-    once = rows.where("_n = 1").drop("_kept", "_n")
-    return once.union(rows.where("_n > 1").drop("_kept", "_n").dropDuplicates([key]))
+    kept = classes(docs, key, text).where(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__kept")).distinct()
+    counted = kept.join(docs.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")), F.col("__kept").eqNullSafe(F.col("__key"))).select("__kept", "__n")
+    rows = docs.join(counted, F.col(key).eqNullSafe(F.col("__kept")))
+    once = rows.where("__n = 1").drop("__kept", "__n")
+    return once.union(rows.where("__n > 1").drop("__kept", "__n").dropDuplicates([key]))
