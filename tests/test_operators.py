@@ -216,3 +216,35 @@ def test_read_through(spark):
     cache = spark.createDataFrame([("a", 2), ("b", 0)], "cache_key string, expires_at int")
     hits, misses = discovery.read_through(spark.createDataFrame([("a",), ("b",), ("c",)], "cache_key string"), cache, F.lit(1))
     assert [r[0] for r in hits.collect()] == ["a"] and sorted(r[0] for r in misses.collect()) == ["b", "c"]
+
+
+# --- acquisition, notes, replies, context ------------------------------------------------------
+
+
+def test_first_success_and_resume(spark):
+    from veinstone.operators import acquisition
+
+    rows = spark.createDataFrame([("a", 0, "https://h/de/1"), ("a", 1, "https://h/1"), ("b", 0, "https://h/es/2"), ("c", 0, "/local")], "article_key string, candidate_rank int, url string")
+    got = {r["article_key"]: r for r in acquisition.first_success(acquisition.fetch(rows, "veinstone.plans.materials:offline", 0.0, 1)).collect()}
+    assert got["a"]["candidate_rank"] == 1 and got["a"]["ok"] and got["a"]["attempts"] == 2
+    assert not got["b"]["ok"] and got["b"]["reason"] == "ConnectionError" and got["c"]["ok"]
+    left = acquisition.pending(rows, spark.createDataFrame([("a", "success"), ("b", "failed")], "article_key string, status string"), [F.asc("article_key")], 9)
+    assert [r["article_key"] for r in left.collect()] == ["b", "c"]
+
+
+def test_reply_parsing(spark):
+    from veinstone.operators import language_models as lm
+
+    replies = ['[{"entity": "a", "x": 1}]', 'so:\n```json\n{"entity": "b", "x": 2}\n```', "text {\"entity\": \"c\"} text", "['single']", "none", None, "[1, 2"]
+    frame = spark.createDataFrame([(i, r) for i, r in enumerate(replies)], "i int, r string")
+    got = {r["i"]: [t["entity"] for t in r["t"] or []] for r in frame.select("i", lm.tuples(F.col("r")).alias("t")).collect()}
+    assert got[0] == ["a"] and got[1] == ["b"] and got[2] == ["c"] and got[4] == got[5] == got[6] == []
+
+
+def test_context(spark):
+    from veinstone.operators import context
+
+    assert one(spark, context.merged(F.lit(" "), F.lit(None).cast("string"), F.lit("Si"))) == "Si"
+    assert context.ontology(spark).groupBy("concept_type", "key").count().where("count > 1").isEmpty()
+    assert one(spark, context.thickness_role(F.lit("t"), F.lit("as-deposited film"))) == "as_deposited"
+    assert one(spark, context.annealed_thickness(F.lit(None).cast("double"), F.lit(10.0), F.array(F.lit(1.0), F.lit(1.0)), F.lit(8.0), F.lit(0.0), F.lit(1.0), F.lit(1.0))) == pytest.approx(20)
