@@ -7,8 +7,8 @@ and ordered by a hash of (seed, key, copy): a global shuffle that any task can r
 so a lost executor's part is recomputed as it was. A mean above PART is split into equal parts
 whose independent counts are added, which keeps exp(-mean) in range.
 
-The rates are one small row per source; Spark joins them by broadcast below its own size
-threshold and by a shuffle with skew splitting above it.
+The rates are one small row per source. Up to BROADCAST_SOURCES of them, which is checked, they
+are broadcast, so that texts move once; more are joined by a shuffle with skew splitting.
 
 Defined results: a null source is a source of its own, with a weight under the key None; a
 source without a weight gets none of its documents; null or empty texts count as documents;
@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veinstone.llm.common import bind
+from veinstone.llm.common import bind, written
 
 #: The largest mean that is inverted in one piece.
 PART = 16.0
@@ -31,6 +31,10 @@ PART = 16.0
 TERMS = 72
 
 
+#: Sources whose rates are broadcast: a few MB.
+BROADCAST_SOURCES = 50_000
+
+
 def hashed_uniform(*parts: Column) -> Column:
     """Uniform in (0, 1) from the first 48 bits of the parts' MD5."""
     digest = F.md5(F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]).cast("binary"))
@@ -51,7 +55,7 @@ def poisson_quantile(u: Column, mean: Column) -> Column:
 def counts(docs: DataFrame, rates: DataFrame, seed: int = 0, key: str = "doc_id", source: str = "source") -> DataFrame:
     """docs with rate (mean repetition rate) and n_copies."""
     rates = rates.select(F.col("source").alias("__source"), F.col("rate"))
-    joined = docs.drop("rate", "n_copies").join(rates, docs[source].eqNullSafe(rates["__source"]), "left").drop("__source")
+    joined = docs.drop("rate", "n_copies").join(rates, F.col(source).eqNullSafe(F.col("__source")), "left").drop("__source")
     rate = F.coalesce(F.col("rate"), F.lit(0.0))
     parts = F.greatest(F.ceil(rate / PART), F.lit(1)).cast("int")
     one = lambda i: bind(hashed_uniform(F.lit(seed), F.col(key), i), lambda u: poisson_quantile(u, rate / parts))
@@ -78,7 +82,8 @@ def rates_for(docs: DataFrame, weights: dict | None = None, exponent: float = 0.
 
 def replicate(docs: DataFrame, weights: dict | None = None, exponent: float = 0.5, total: float | None = None, seed: int = 0, key: str = "doc_id", source: str = "source") -> DataFrame:
     """docs repeated by their counts, with copy (from 1) and order_key, shuffled globally by order_key."""
-    counted = counts(docs, rates_for(docs, weights, exponent, total, source), seed, key, source)
+    rates = written(rates_for(docs, weights, exponent, total, source), "rates")
+    counted = counts(docs, F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates, seed, key, source)
     copies = counted.where("n_copies > 0").drop("copy", "order_key").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
     keyed = copies.withColumn("order_key", F.xxhash64(F.lit(seed), F.col(key), F.col("copy")))
     return keyed.repartition("order_key").sortWithinPartitions("order_key")
