@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -26,7 +27,7 @@ def duck():
 def plain(v):
     if v is None or isinstance(v, float) and math.isnan(v):
         return "null"
-    return repr(float(v)) if isinstance(v, float) else str(v)
+    return str(v) if isinstance(v, bool) or not isinstance(v, (int, float, Decimal)) else repr(float(v))
 
 
 def as_rows(table):
@@ -40,7 +41,7 @@ def test_query(spark, duck, name):
     sql = registry.oracle_sql().get(name)
     assert out.num_rows > 0
     if sql:
-        assert as_rows(out) == as_rows(duck.execute(sql).to_arrow_table())
+        assert as_rows(out) == as_rows(duck.sql(sql).to_arrow_table())
 
 
 def test_entry(spark):
