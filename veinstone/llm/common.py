@@ -38,7 +38,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends here, and a lost executor loses nothing of it."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
