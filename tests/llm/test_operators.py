@@ -313,6 +313,16 @@ def test_lm_counts_from_probes():
     assert likely > -1 and unlikely < -8
 
 
+def test_lm_order_of_words(spark):
+    """Shuffled words score lower, in texts that training has and in those it has not."""
+    said = ["the cat sat on the mat", "a dog ran to the old house", "the old cat ran to a house", "a dog sat on the mat"]
+    data = [(i, said[i % 4], True) for i in range(40)]
+    data += [(100, "the old dog sat on the mat", False), (101, "mat the on sat dog old the", False), (102, said[0], False), (103, "mat the on the sat cat", False)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, train boolean")
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, docs["train"]).collect()}
+    assert got[100] > got[101] + 2 and got[102] > got[103] + 2
+
+
 # --- licences ----------------------------------------------------------------------------------
 
 
