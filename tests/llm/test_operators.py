@@ -323,6 +323,22 @@ def test_lm_order_of_words(spark):
     assert got[100] > got[101] + 2 and got[102] > got[103] + 2
 
 
+def test_lm_filters_hold_pairs_in_shards():
+    """Levels of packed keys come back in the keys' order from any number of shards, at one error rate."""
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 64, 60000, np.uint64)
+    counts = rng.integers(0, 4, 60000)
+    keys, n = lm.keyed(hashes, counts)
+    again, ones = lm.marked(np.repeat(hashes, counts + 1), np.concatenate([[0] + [1] * k for k in counts]).astype(bool))
+    assert (again == keys).all() and (ones == n).all()
+    for shards in (1, 7, 64):
+        rows = list(lm.sharded(5, keys, n, shards))
+        tables = [lm.probe_shard(pa.table({"chunk": [r[0]], "shard": [r[1]], "m": [r[2]], "keys": [r[3]], "counts": [r[4]]})) for r in rows]
+        got = lm.levels_of([t["shard"][0].as_py() for t in tables], [t["m"][0].as_py() for t in tables], [t["levels"][0].as_py() for t in tables])
+        want = np.where(n > 0, lm.level_of(np.maximum(n, 1)), 0)
+        assert len(got) == len(keys) and (got >= want).all() and (got > want).mean() < 0.05
+
+
 # --- licences ----------------------------------------------------------------------------------
 
 
