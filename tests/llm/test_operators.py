@@ -220,6 +220,14 @@ def test_near_duplicates(spark, rows, odd, empty):
     assert neardup.deduplicate(odd).count() == len(ODD) and neardup.deduplicate(odd).columns == odd.columns
 
 
+def test_near_duplicates_without_keys(spark):
+    """Different texts of one key, or of none, all stay; copies still fall together."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    data = [(None, text(1)), (None, text(2)), (None, text(2)), (7, text(3)), (7, text(4)), (8, text(4)), (None, text(4)), (9, text(5)), (9, text(5))]
+    got = neardup.deduplicate(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(0, text(1)), (0, text(2)), (7, text(3)), (7, text(4)), (9, text(5))])
+
+
 def test_near_duplicate_chains(spark, monkeypatch):
     """Members of a bucket that its first does not resemble are linked among themselves, in tiles too."""
     r = np.random.default_rng(3)

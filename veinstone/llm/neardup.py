@@ -244,9 +244,12 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each class: that of the least key (of repeated keys one row)."""
-    kept = classes(docs, key, text).where(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__kept")).distinct()
-    counted = kept.join(docs.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")), F.col("__kept").eqNullSafe(F.col("__key"))).select("__kept", "__n")
-    rows = docs.join(counted, F.col(key).eqNullSafe(F.col("__kept")))
-    once = rows.where("__n = 1").drop("__kept", "__n")
-    return once.union(rows.where("__n > 1").drop("__kept", "__n").dropDuplicates([key]))
+    """docs with one row of each class: that of the least key, none last (of rows equal in key and text one)."""
+    named = docs.withColumn("__row", F.xxhash64(key, text))  # rows of one key, or of none, with different texts stay apart
+    found = classes(named.select("__row", text), "__row", text)
+    keys = named.groupBy("__row").agg(F.first(key).alias("__key"), F.count(F.lit(1)).alias("__n"))
+    least = F.min(F.struct(F.col("__key").isNull().alias("none"), "__key", "__row", "__n"))
+    kept = found.join(keys, "__row").groupBy("class_id").agg(least.alias("k")).select(F.col("k.__row").alias("__row"), F.col("k.__n").alias("__n"))
+    rows = named.join(kept, "__row").select(*docs.columns, "__row", "__n")
+    once = rows.where("__n = 1").drop("__row", "__n")
+    return once.union(rows.where("__n > 1").dropDuplicates(["__row"]).drop("__row", "__n"))
