@@ -248,3 +248,22 @@ def test_context(spark):
     assert context.ontology(spark).groupBy("concept_type", "key").count().where("count > 1").isEmpty()
     assert one(spark, context.thickness_role(F.lit("t"), F.lit("as-deposited film"))) == "as_deposited"
     assert one(spark, context.annealed_thickness(F.lit(None).cast("double"), F.lit(10.0), F.array(F.lit(1.0), F.lit(1.0)), F.lit(8.0), F.lit(0.0), F.lit(1.0), F.lit(1.0))) == pytest.approx(20)
+
+
+def test_tolerance_match_takes_all_rows(spark):
+    """Greedy matching of all lines and parts, by brute force."""
+    from veinstone.plans import relations
+
+    sf = "/root/testdata/sf0.001"
+    pred, gold = relations.gold_and_pred(spark, sf)
+    lines, parts = pred.collect(), sorted(gold.collect(), key=lambda r: r["gold_id"])
+    assert (len(lines), len(parts)) == tuple(spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("lineitem", "part"))
+    used, want = set(), set()
+    for p in sorted(lines, key=lambda r: r["k"]):
+        free = (g["gold_id"] for g in parts if g["gold_id"] not in used and g["entity"] == p["entity"] and abs(g["x"] - p["x"]) <= 2 and abs(g["y"] - p["y"]) <= 8)
+        if (g := next(free, None)) is not None:
+            used.add(g)
+            want.add((p["k"], g))
+    assert want == {(r["k"], r["gold_id"]) for r in relations.tolerance_match(spark, sf).collect()}
+    scores = relations.match_scores(spark, sf).first()
+    assert scores["tp"] == len(want) and abs(scores["precision"] - len(want) / len(lines)) < 1e-12 and abs(scores["recall"] - len(want) / len(parts)) < 1e-12

@@ -55,14 +55,14 @@ def as_of(spark, sf_dir):
     return joins.as_of(rows, facts, "user_id", "ts", "last_view").select("event_id", "last_view")
 
 
-def gold_and_pred(spark, sf_dir):
-    pred = lines(spark, sf_dir).where("l_tax = 0.05").select(point_key().alias("k"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), F.col("l_returnflag").alias("entity"))
-    gold = read(spark, sf_dir, "part").where("p_size <= 3").select(F.col("p_partkey").alias("gold_id"), (F.col("p_size") * 12.0).alias("x"), (F.col("p_retailprice") % 100).alias("y"), F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("p_partkey") % 3 + 1).cast("int")).alias("entity"))
+def gold_and_pred(spark, sf_dir, some_lines="true", some_parts="true"):
+    pred = lines(spark, sf_dir).where(some_lines).select(point_key().alias("k"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), F.col("l_returnflag").alias("entity"))
+    gold = read(spark, sf_dir, "part").where(some_parts).select(F.col("p_partkey").alias("gold_id"), (F.col("p_size") * 12.0).alias("x"), (F.col("p_retailprice") % 100).alias("y"), F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("p_partkey") % 3 + 1).cast("int")).alias("entity"))
     return pred, gold
 
 
 def tolerance_candidates(spark, sf_dir):
-    pred, gold = gold_and_pred(spark, sf_dir)
+    pred, gold = gold_and_pred(spark, sf_dir, "l_tax = 0.05", "p_size <= 3")
     return joins.band_candidates(pred, gold, "entity", "x", "y", 2.0, 8.0).groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("k").alias("n_pred"), F.countDistinct("gold_id").alias("n_gold"))
 
 
@@ -83,7 +83,7 @@ def match_scores(spark, sf_dir):
 
 
 def nearest_gold(spark, sf_dir):
-    pred, gold = gold_and_pred(spark, sf_dir)
+    pred, gold = gold_and_pred(spark, sf_dir, "l_tax = 0.05", "p_size <= 3")
     small = gold.where("gold_id % 20 = 0").select("gold_id", F.col("x").alias("gx"), F.col("y").alias("gy"), "entity")
     near = joins.nearest(pred.where("x <= 3"), small, "entity", F.round(F.abs(F.col("x") - F.col("gx")) + F.abs(F.col("y") - F.col("gy")), 6), "gold_id")
     why = F.when(F.abs(F.col("x") - F.col("gx")) > 2, "x_out_of_tolerance").when(F.abs(F.col("y") - F.col("gy")) > 8, "y_out_of_tolerance").otherwise("already_matched")
