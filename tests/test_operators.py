@@ -267,3 +267,13 @@ def test_tolerance_match_takes_all_rows(spark):
     assert want == {(r["k"], r["gold_id"]) for r in relations.tolerance_match(spark, sf).collect()}
     scores = relations.match_scores(spark, sf).first()
     assert scores["tp"] == len(want) and abs(scores["precision"] - len(want) / len(lines)) < 1e-12 and abs(scores["recall"] - len(want) / len(parts)) < 1e-12
+
+
+def test_tabular_head_predicts_its_whole_test_side(spark):
+    from veinstone.operators import models
+    from veinstone.plans import learning
+
+    sf = "/root/testdata/sf0.001"
+    test = models.split(spark.read.parquet(f"{sf}/lineitem.parquet"), "l_orderkey")[1]
+    key = lambda df: {tuple(r) for r in df.select("l_orderkey", "l_linenumber").collect()}
+    assert key(learning.tabular_head(spark, sf)) == key(test)
