@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veinstone.llm.common import written
+from veinstone.llm.common import discard, written
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -24,15 +24,16 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b): root is the least node that it reaches.
 
     Each round is written to the shared folder, so that plans stay short and lost executors cost
-    one round at most. Ends when a round changes nothing; the number of rounds is logarithmic in
-    the longest path. No links give an empty table.
+    one round at most; the round before it is deleted then. Ends when a round changes nothing; the
+    number of rounds is logarithmic in the longest path. No links give an empty table.
     """
     own = written(edges.select("a", "b").where("a <> b").distinct(), "links")
     mark = lambda t: t.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))).first()
     before = mark(own)
     while before[0]:
-        own = written(_small(_large(own).where("a <> b").distinct()).where("a <> b").distinct(), "links")
-        after = mark(own)
+        new = written(_small(_large(own).where("a <> b").distinct()).where("a <> b").distinct(), "links")
+        discard(own)
+        own, after = new, mark(new)
         if after == before:
             break
         before = after
