@@ -7,11 +7,13 @@ other characters, its features word shapes and a few words at offsets -2 to 2, i
 begin/inside of each kind and outside. It is trained by stochastic gradient on `labelled_rows()`,
 a small table made by rule, and decoded by Viterbi for all candidate stretches of an Arrow chunk
 at once. Stretches are what lies within REACH characters, on the same line, of a digit, an at
-sign or a written-out "dot" or bracketed "at": elsewhere every label is outside. A decoded span
-counts if it passes the check of its kind and touches no span of the patterns.
+sign or a written-out "dot" or bracketed "at", and on to the ends of what is not blank there, so
+that no address or number is cut: elsewhere every label is outside. A decoded span counts if it
+passes the check of its kind and touches no span of the patterns.
 
 Texts are read whole; offsets are code points, ends exclusive. All searches are linear in the
-text, whatever it holds. The model is a few hundred KB and broadcast.
+text, whatever it holds, and Viterbi keeps one byte a token and label. The model is a few hundred
+KB and broadcast.
 
 Defined results: a null text is an empty one without spans; overlapping spans of different kinds
 are all reported and redacted as one stretch named by the first; equal starts cannot occur within
@@ -35,6 +37,7 @@ from veinstone.llm.common import chunks, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
+#: Characters around a trigger that the CRF reads at least.
 REACH = 48
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -45,6 +48,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TRIGGER = re.compile(r"[0-9@]+|(?i:[\[({<] ?(?:at|dot) ?[\])}>])|(?i:\bdot\b)")
 TOKEN = re.compile(r"[^\W_]+|[^\s]")
+FILLED = re.compile(r"\S*")
 DIGITS = str.maketrans("", "", "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isdigit()) + " ")
 
 
@@ -100,8 +104,15 @@ def shape(token: str) -> str:
         return f"d{min(len(token), 20)}"
     if len(token) == 1 and not token.isalnum():
         return token
-    kinds = "".join("d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else "?" for c in token[:24])
-    return re.sub(r"(.)\1+", r"\1+", kinds)
+    out, last = [], ""
+    for c in token:
+        kind = "d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else "?"
+        if kind != last:
+            out.append(kind)
+        elif not out[-1].endswith("+"):
+            out[-1] += "+"
+        last = kind
+    return "".join(out)
 
 
 def tokens_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
@@ -128,9 +139,11 @@ class Model:
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
         """Emission scores of sequences of shape ids, one row a sequence, 1 beyond its end."""
-        n, t = ids.shape
-        wide = np.pad(ids, ((0, 0), (2, 2)), constant_values=1)
-        return sum(self.emit[k][wide[:, k : k + t]] for k in range(len(OFFSETS)))
+        return self._scores(np.pad(ids, ((0, 0), (2, 2)), constant_values=1), 0, ids.shape[1])
+
+    def _scores(self, wide: np.ndarray, a: int, b: int) -> np.ndarray:
+        """Those of places a to b of sequences with two more places at either side."""
+        return sum(self.emit[k][wide[:, k + a : k + b]] for k in range(len(OFFSETS)))
 
     def decode(self, sequences: list[list[str]], cells: int = 1 << 18) -> list[np.ndarray]:
         """The best labels of each sequence of shapes, by Viterbi over batches of sequences of like length."""
@@ -146,14 +159,19 @@ class Model:
             ids = np.ones((len(some), max(1, sizes.max())), np.int32)
             for r, i in enumerate(some):
                 ids[r, : sizes[r]] = [self.shapes.get(s, 0) for s in sequences[i]]
-            scores = self.scores(ids)
-            best = scores[:, 0] + self.first
+            wide = np.pad(ids, ((0, 0), (2, 2)), constant_values=1)
             back = np.zeros(ids.shape + (len(LABELS),), np.int8)
-            final = best.copy()
-            for t in range(1, ids.shape[1]):
+            step = max(1, cells // len(some))
+            for t in range(ids.shape[1]):
+                if t % step == 0:
+                    scores = self._scores(wide, t, min(t + step, ids.shape[1]))
+                if t == 0:
+                    best = scores[:, 0] + self.first
+                    final = best.copy()
+                    continue
                 paths = best[:, :, None] + self.moves
                 back[:, t] = paths.argmax(1)
-                best = paths.max(1) + scores[:, t]
+                best = paths.max(1) + scores[:, t % step]
                 final[sizes == t + 1] = best[sizes == t + 1]
             label = final.argmax(1)
             labels = np.zeros(ids.shape, np.int8)
@@ -272,14 +290,19 @@ def stretches(text: str) -> list[tuple[int, int]]:
     """The parts of a text that the CRF reads."""
     out: list[list[int]] = []
     for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+        last = out[-1][1] if out else 0  # what lies before was seen for the stretch before
+        if m.end() + REACH <= last:
+            continue
+        a, b = max(last, m.start() - REACH), min(len(text), m.end() + REACH)
         a = max(a, text.rfind("\n", a, m.start()) + 1)
-        b = e if (e := text.find("\n", m.end(), b)) >= 0 else b
-        if a:  # not from within a word
-            while a < m.start() and text[a].isalnum() and text[a - 1].isalnum():
-                a += 1
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(b, out[-1][1])
+        while a > last and not text[a - 1].isspace():
+            a -= 1
+        if (e := text.find("\n", m.end(), b)) >= 0:
+            b = e
+        else:
+            b = FILLED.match(text, b).end()
+        if out and a <= last:
+            out[-1][1] = max(b, last)
         else:
             out.append([a, b])
     return [tuple(x) for x in out]
