@@ -6,13 +6,16 @@ text's vector bundles (adds) those of all its trigrams, a language's prototype t
 training texts, and the prediction is the prototype of the largest cosine.
 
 Texts are read whole: lower case, everything but letters one blank, a blank before and after.
-The prototypes are fitted on a bounded sample of labelled rows: those whose key's hash falls
-under TRAINING_ROWS over the table's row count. They are a few KB a language and broadcast.
+The prototypes are fitted on a bounded sample of labelled rows: of each label those whose key's
+hash falls under TRAINING_ROWS over the label's row count, so that rare labels are learned from
+all their rows. They are a few KB a language and broadcast. Vectors of trigrams are made a block
+at a time, so that memory does not grow with a text's length.
 
 Defined results: a null text or one without a letter is `und` with score 0, as is every text if
 nothing was learned; ties go to the language first by name; a negative cosine scores 0; repeated
 rows are predicted each on their own; an empty table gives an empty result; key and text (and
-the label, for training alone) are read, no other column.
+the label, for training alone) are read, no other column. Rows without a key are in the sample or
+out of it together.
 """
 
 from __future__ import annotations
@@ -28,10 +31,16 @@ from veinstone.llm.common import chunks, texts_of
 
 DIMENSIONS = 1024
 SEED = 20240501
-#: Bound on the labelled rows that the prototypes are fitted on.
-TRAINING_ROWS = 20_000
-#: Trigrams whose vectors are made at a time.
-BLOCK = 8192
+#: Bound on the labelled rows of one label that its prototype is fitted on.
+TRAINING_ROWS = 5_000
+#: Tasks that fit, each of which returns one vector a label.
+FITTERS = 32
+#: Labels whose shares are broadcast: a few MB.
+BROADCAST_LABELS = 50_000
+#: Texts of a chunk; with so many, (text, trigram) fits 64 bits whatever the letters.
+ROWS = 1024
+#: Trigrams whose vectors are made at a time; and those of a chunk whose vectors are kept for all its texts.
+BLOCK, KEPT = 8192, 1 << 16
 
 _letters: np.ndarray | None = None
 _vectors: dict[int, np.ndarray] = {}
@@ -60,8 +69,9 @@ def letter_vector(c: int) -> np.ndarray:
 def trigram_vectors(codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """One row of +1 and -1 a trigram; codes: places of its letters in letters, in base len(letters)."""
     k = len(letters)
-    own = np.stack([letter_vector(int(c)) for c in letters])
-    return np.roll(own, 2, 1)[codes // (k * k)] * np.roll(own, 1, 1)[codes // k % k] * own[codes % k]
+    used, places = np.unique(np.stack([codes // (k * k), codes // k % k, codes % k]), return_inverse=True)
+    own, (a, b, c) = np.stack([letter_vector(int(x)) for x in letters[used]]), places.reshape(3, -1)
+    return np.roll(own, 2, 1)[a] * np.roll(own, 1, 1)[b] * own[c]
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +98,7 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 def _fit_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
-        for rows in chunks([batch], "_text"):
+        for rows in chunks([batch], "_text", 4 << 20, ROWS):
             labels = np.array(rows.column("_label").to_pylist(), object)
             letters, owner, codes, counts = trigrams(texts_of(rows, "_text").to_pylist())
             if not len(codes):
@@ -104,14 +114,26 @@ def _fit_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"label": pa.array(list(sums), pa.string()), "total": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
 
 
+def shares(counts: dict[str, int], rows: int = TRAINING_ROWS) -> dict[str, float]:
+    """The share of each label's rows that the sample takes."""
+    return {label: min(1.0, rows / n) for label, n in counts.items()}
+
+
+def sampled(docs: DataFrame, key: str, label: str, rows: int) -> DataFrame:
+    """docs of which each label's rows are thinned to about `rows` by a hash of their key."""
+    counts = {r["l"]: r["n"] for r in docs.groupBy(F.col(label).alias("l")).agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}  # a row a language
+    share = shares(counts, rows)
+    taken = docs.sparkSession.createDataFrame(list(share.items()), f"_l {docs.schema[label].dataType.simpleString()}, _share double")
+    luck = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(key)), 11).cast("double") * 2.0**-53
+    return docs.join(F.broadcast(taken) if len(share) <= BROADCAST_LABELS else taken, F.col(label) == F.col("_l")).where(luck < F.col("_share"))
+
+
 def fit(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", label: str = "lang", rows: int = TRAINING_ROWS) -> dict[str, np.ndarray]:
-    """A prototype of length 1 for each label of at most about `rows` rows of those that training names."""
-    n = docs.count()
-    share = min(1.0, rows / n) if n else 0.0
-    some = docs.where(training & F.col(label).isNotNull() & F.col(text).isNotNull() & (F.pmod(F.xxhash64(F.lit(SEED), F.col(key)), F.lit(1_000_000)) < int(share * 1_000_000)))
-    parts = some.select(F.col(label).cast("string").alias("_label"), F.col(text).alias("_text")).mapInArrow(_fit_part, "label string, total binary")
+    """A prototype of length 1 for each label, from at most about `rows` rows of it among those that training names."""
+    own = docs.where(training & F.col(label).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"), F.col(text).alias("_text"))
+    some = sampled(own, "_key", "_label", rows).where("_text is not null").select(F.col("_label").cast("string").alias("_label"), "_text").repartition(FITTERS, F.xxhash64("_text"))
     sums: dict[str, np.ndarray] = {}
-    for row in parts.toLocalIterator():  # one vector a task and label
+    for row in some.mapInArrow(_fit_part, "label string, total binary").toLocalIterator():
         sums[row["label"]] = sums.get(row["label"], 0) + np.frombuffer(row["total"])
     return {k: v / norm for k, v in sorted(sums.items()) if (norm := np.linalg.norm(v)) > 0}
 
@@ -123,23 +145,26 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], key: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, planes = shared.value
-        for rows in chunks(batches, "_text", 4 << 20):
+        for rows in chunks(batches, "_text", 4 << 20, ROWS):
             texts = texts_of(rows, "_text").to_pylist()
             n = len(texts)
             best, score = [None] * n, np.zeros(n)
             letters, owner, codes, counts = trigrams(texts)
             if planes is not None and len(codes):
                 some, at = np.unique(codes, return_inverse=True)
-                vectors = np.concatenate([trigram_vectors(some[i : i + BLOCK], letters) for i in range(0, len(some), BLOCK)])
+                few = len(some) <= KEPT
+                vectors = np.concatenate([trigram_vectors(some[i : i + BLOCK], letters) for i in range(0, len(some), BLOCK)]) if few else None
                 blank = int(np.searchsorted(letters, 0)) if 0 in letters else -1
                 k = len(letters)
-                lettered = (some // (k * k) != blank) | (some // k % k != blank) | (some % k != blank)
+                lettered = (codes // (k * k) != blank) | (codes // k % k != blank) | (codes % k != blank)
                 place = np.searchsorted(owner, np.arange(n + 1))
                 for i in range(n):
-                    mine = at[place[i] : place[i + 1]]
-                    if not lettered[mine].any():
+                    if not lettered[place[i] : place[i + 1]].any():
                         continue
-                    own = counts[place[i] : place[i + 1]].astype(np.float32) @ vectors[mine].astype(np.float32)
+                    own = np.zeros(DIMENSIONS, np.float32)
+                    for j in range(place[i], place[i + 1], BLOCK):
+                        mine = slice(j, min(j + BLOCK, place[i + 1]))
+                        own += counts[mine].astype(np.float32) @ (vectors[at[mine]] if few else trigram_vectors(codes[mine], letters)).astype(np.float32)
                     if norm := float(np.linalg.norm(own)):
                         cosines = planes @ own / norm
                         j = int(np.argmax(cosines))
