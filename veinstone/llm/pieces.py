@@ -2,20 +2,21 @@
 
 The pieces and their log scores come from a model file whose path is a parameter; nothing is
 trained. A BPE model holds merge ranks in place of log scores; Zipf's law makes them some: the
-piece of rank r gets the log of 1 / (r + 1), less that of the sum over all ranks. A text gets a leading blank, blanks become the marker U+2581, and of all ways to spell
-it with pieces that with the largest sum of scores wins (ties: the longer last piece). A
-character that no piece spells alone costs the smallest score less 10 and is written as its
+piece of rank r gets the log of 1 / (r + 1), less that of the sum over all ranks. A text gets a
+leading blank, blanks become the marker U+2581, and of all ways to spell it with pieces that with
+the largest sum of scores wins (ties: the longer last piece). A character that no piece spells alone costs the smallest score less 10 and is written as its
 UTF-8 bytes. A marker that stands in the text itself is written as bytes too, so decoding gives
 every text back exactly.
 
 No piece reaches over the end of a word into a marker, so a text's best path is that of its
 words one after another. Each Arrow chunk is cut into words by Arrow kernels, its distinct words
 are decoded together (one numpy step per byte and trie depth for all words of like length) and
-the ids are gathered by word. Where a vocabulary has pieces that do reach over, whole texts are
-taken as words. Tables are of the vocabulary's size and broadcast; chunks bound the memory.
+the ids are gathered by word. Long words, such as texts of scripts without blanks, are first cut
+wherever no piece reaches over. Where a vocabulary has pieces that do reach over markers, whole texts
+are taken as words. Tables are of the vocabulary's size and broadcast; chunks bound the memory.
 
-Defined results: null and empty texts have no ids; very long words take a scalar path of the same
-result; repeated rows are encoded each on their own; an empty table gives an empty result; key
+Defined results: null and empty texts have no ids; what is long and cannot be cut takes a scalar path
+of the same result; repeated rows are encoded each on their own; an empty table gives an empty result; key
 and text are read, no other column, whatever it is called.
 """
 
@@ -37,7 +38,7 @@ from veinstone.llm.common import chunks, texts_of
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 UNKNOWN_PENALTY = 10.0
-#: Words of more bytes are decoded one by one.
+#: Words of more bytes are cut, and decoded one by one if they are still longer.
 LONG = 96
 CUT = "\x1f"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -255,8 +256,48 @@ class Vocabulary:
             rows = rows[begin > 0]
         return out, best[np.arange(n), lengths]
 
+    def cuts(self, word: bytes) -> np.ndarray:
+        """The places in a word, its end included, over which neither a piece nor a character reaches: the best path goes through all of them."""
+        own = np.frombuffer(word, np.uint8)
+        n = len(own)
+        start = np.flatnonzero((own & 0xC0) != 0x80)
+        reach = np.append(start[1:], n)
+        live, s = np.arange(len(start)), np.zeros(len(start), np.int32)
+        for k in range(self.longest):
+            inside = start[live] + k < n
+            live, s = live[inside], s[inside]
+            t = self.base[s] + own[start[live] + k]
+            ok = (self.check[t] == s) & (t != 0)
+            live, s = live[ok], t[ok]
+            if not len(live):
+                break
+            hit = live[self.value[s] >= 0]
+            reach[hit] = np.maximum(reach[hit], start[hit] + k + 1)
+        return np.append(start[1:], n)[np.maximum.accumulate(reach) <= np.append(start[1:], n)]
+
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids one word after another, the first place of each word (one more than words), and scores."""
+        if all(len(w) <= LONG for w in words):
+            return self._encode_parts(words)
+        parts: dict[bytes, int] = {}
+        codes, owner = [], []
+        for i, w in enumerate(words):
+            if len(w) <= LONG:
+                own = [w]
+            else:
+                ends = self.cuts(w).tolist()
+                own = [w[a:b] for a, b in zip([0, *ends], ends)]
+            codes += [parts.setdefault(x, len(parts)) for x in own]
+            owner += [i] * len(own)
+        ids, place, scores = self._encode_parts(list(parts))
+        code, owners = np.array(codes, np.int64), np.array(owner, np.int64)
+        sizes = np.diff(place)[code]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        out = ids[np.repeat(place[:-1][code] - after[:-1], sizes) + np.arange(after[-1])]
+        per_word = np.bincount(owners, sizes, len(words)).astype(np.int64)
+        return out, np.concatenate([[0], np.cumsum(per_word)]), np.bincount(owners, scores[code], len(words))
+
+    def _encode_parts(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sizes = np.array([len(w) for w in words], np.int64) if words else np.zeros(0, np.int64)
         per_word: list = [None] * len(words)
         scores = np.zeros(len(words))
@@ -303,7 +344,7 @@ class Vocabulary:
         """Ids of one text."""
         out: list[int] = []
         for word in self.words_of(text or ""):
-            out += self.fallback(MARK_BYTES) if word is None else self.encode_word(word.encode())[0]
+            out += self.fallback(MARK_BYTES) if word is None else self.encode_words([word.encode()])[0].tolist()
         return out
 
     def spellings(self) -> list[bytes]:
