@@ -1,16 +1,17 @@
 """Quality rules as a short-circuit cascade, in DataFrame expressions only.
 
-Each rule is a predicate that rejects a text. On a bounded sample the planner measures what a
-rule costs (seconds for the sample) and how much it rejects, and orders the rules by rejection
-per cost; the verdict is one CASE whose later branches are evaluated only for texts that the
-earlier ones let through. The order decides the time, never the verdict, which is "no rule
-rejects": it is the same for every order.
+Each rule is a predicate over a text and its words that rejects the text. On a sample the planner
+measures what each rule costs beyond splitting the text into words, and which texts it rejects, and
+orders the rules by rejection per cost, each among the texts that those before it let through. The
+verdict is one CASE whose later branches, with all that they count, are evaluated only for texts
+that the earlier ones let through; the words are split once. The order decides the time, never the
+verdict, which is "no rule rejects": it is the same for every order.
 
 Defined results: a null text has no words and is rejected by the length rule, as is an empty
 one; ties in rejection per cost fall back to the rule's name; repeated rows are judged each on
 their own; an empty table gives an empty result (the declared order stands); other columns
 of the input, whatever their names, are carried through by `filter_documents` and ignored by
-`measures`.
+`judged`.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veinstone.llm.common import SPACE, bind, words_of
+from veinstone.llm.common import SPACE, bind, discard, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -72,97 +73,129 @@ def n_repeat_words(words: Column, n: int = WINDOW) -> Column:
     return bind(hashed, lambda w: F.when(F.size(w) <= n, F.lit(0).cast("long")).otherwise(bind(windows(w), count)))
 
 
-def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, text and the counts that the rules compare: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    t = F.col(text)
-    both = bind(words_of(t), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).alias("n_repeat_words")))
-    return docs.select(F.col(key), t, both.alias("_both"), word_chars(t).alias("word_chars"), n_symbols(t).alias("n_symbols"), n_dup_lines(t).alias("n_dup_lines")).select(
-        key, text, F.col("_both.n_words").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_both.n_repeat_words").alias("n_repeat_words")
-    )
-
-
 @dataclass(frozen=True)
 class Rule:
-    """rejects: of (text, measures by name), true for a text to be rejected; sql: the same for DuckDB over those names."""
+    """rejects: of a text (not null) and its words, true for a text to be rejected; sql: the same for DuckDB over measures by name."""
 
     name: str
-    rejects: Callable[[Column, dict[str, Column]], Column]
+    rejects: Callable[[Column, Column], Column]
     sql: str
 
 
-def lazy_measures(text: Column) -> dict[str, Column]:
-    """Each measure as an expression over the text, evaluated only where a branch needs it."""
-    words = words_of(text)
-    return {
-        "n_words": F.size(words).cast("long"),
-        "word_chars": word_chars(text),
-        "n_symbols": n_symbols(text),
-        "n_dup_lines": n_dup_lines(text),
-        "n_repeat_words": n_repeat_words(words),
-    }
-
-
-#: Declared order; thresholds as integers, so that every engine agrees.
-RULES = (
-    Rule("too_short", lambda t, m: m["n_words"] < 10, "n_words < 10"),
-    Rule("symbols", lambda t, m: 10 * m["n_symbols"] > m["n_words"], "10 * n_symbols > n_words"),
-    Rule("word_length", lambda t, m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"]), "(word_chars < 2 * n_words or word_chars > 15 * n_words)"),
-    Rule("duplicate_lines", lambda t, m: 2 * m["n_dup_lines"] > F.size(lines_of(t)), "2 * n_dup_lines > n_lines"),
-    Rule("few_letters", lambda t, m: 2 * F.length(F.regexp_replace(F.coalesce(t, F.lit("")), r"\P{L}+", "")) < m["word_chars"], "2 * n_letters < word_chars"),
-    Rule("repeated_words", lambda t, m: 100 * m["n_repeat_words"] > 20 * m["n_words"], "100 * n_repeat_words > 20 * n_words"),
+def n_words(words: Column) -> Column:
+    return F.size(words).cast("long")
+
+
+def n_letters(text: Column) -> Column:
+    return F.length(F.regexp_replace(text, r"\P{L}+", ""))
+
+
+#: Rules that the base of op3 states itself; thresholds as integers, so that every engine agrees.
+BASE_RULES = (
+    Rule("too_short", lambda t, w: n_words(w) < 10, "n_words < 10"),
+    Rule("repeated_words", lambda t, w: 100 * n_repeat_words(w) > 20 * n_words(w), "100 * n_repeat_words > 20 * n_words"),
+)
+#: Rules that only the cascade has.
+OWN_RULES = (
+    Rule("symbols", lambda t, w: 10 * n_symbols(t) > n_words(w), "10 * n_symbols > n_words"),
+    Rule("word_length", lambda t, w: bind(word_chars(t), lambda c: (c < 2 * n_words(w)) | (c > 15 * n_words(w))), "(word_chars < 2 * n_words or word_chars > 15 * n_words)"),
+    Rule("duplicate_lines", lambda t, w: bind(lines_of(t), lambda x: 2 * (F.size(x) - F.size(F.array_distinct(x))) > F.size(x)), "2 * n_dup_lines > n_lines"),
+    Rule("few_letters", lambda t, w: 2 * n_letters(t) < word_chars(t), "2 * n_letters < word_chars"),
 )
+RULES = BASE_RULES + OWN_RULES
 
-#: Rows that the planner may look at. It bounds the planner's time and memory, not what is judged.
-SAMPLE_ROWS = 512
+#: Rows of the sample, on the average, and the most characters of each: longer texts are judged like all, but not used for planning.
+SAMPLE_ROWS, SAMPLE_CHARS = 512, 1 << 16
+#: Times that a rule is timed, and copies of the sample in each.
+TIMES, COPIES = 2, 2
 
 
 @dataclass(frozen=True)
 class Estimate:
+    """seconds: of one pass over the sample, words given; rejected: share of the texts that the rules before it let through."""
+
     name: str
     seconds: float
     rejected: float
 
-    @property
-    def worth(self) -> float:
-        return self.rejected / max(self.seconds, 1e-6)
 
+def by_worth(rules: tuple[Rule, ...], seconds: dict[str, float], patterns: dict[int, int]) -> tuple[tuple[Rule, ...], list[Estimate]]:
+    """The rule of the most rejection per cost among what is left, again and again. patterns: rows by the set of rules that reject them, as bits in the order of rules."""
+    left, out, estimates = list(range(len(rules))), [], []
+    while left:
+        alive = sum(n for p, n in patterns.items())
+        share = {k: sum(n for p, n in patterns.items() if p >> k & 1) / max(alive, 1) for k in left}
+        best = min(left, key=lambda k: (-share[k] / max(seconds[rules[k].name], 1e-6), rules[k].name))
+        left.remove(best)
+        out.append(rules[best])
+        estimates.append(Estimate(rules[best].name, seconds[rules[best].name], share[best]))
+        patterns = {p: n for p, n in patterns.items() if not p >> best & 1}
+    return tuple(out), estimates
 
-def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> tuple[tuple[Rule, ...], list[Estimate]]:
-    """rules in the order of rejection per cost on at most sample_rows rows, and the estimates.
 
-    The sample is the first rows that Spark reaches without a scan; it need not be fair, since
-    it decides only the order. Each rule runs alone over the sample, twice, and the quicker run
-    counts.
+def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS, seed: int = 1) -> tuple[tuple[Rule, ...], list[Estimate]]:
+    """rules in the order of rejection per cost on a sample of about sample_rows rows from all over docs, and the estimates.
+
+    A rule's cost is the time of a job that applies it, less that of the same job without a rule,
+    which splits the words; the quickest of TIMES runs counts.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(text).alias("text")).limit(sample_rows).collect()
+    rows = docs.count()
     if not rows:
         return rules, []
-    sample = spark.createDataFrame(rows, "text string").coalesce(1)
-    estimates = []
-    for rule in rules:
-        verdict = sample.select(rule.rejects(F.col("text"), lazy_measures(F.col("text"))).cast("double").alias("r"))
+    some = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).sample(False, min(1.0, sample_rows / rows), seed)
+    sample = written(some.where(F.length("text") <= SAMPLE_CHARS).repartition(1), "rule-sample")
+    t = F.col("text")
+    verdicts = [lambda t, w, r=r: F.coalesce(r.rejects(t, w), F.lit(True)) for r in rules]
+    bits = bind(words_of(t), lambda w: sum((v(t, w).cast("int") * (1 << k) for k, v in enumerate(verdicts)), F.lit(0)))
+    patterns = {r["p"]: r["n"] for r in sample.groupBy(bits.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}  # as many rows as sets of rules at most
+
+    def timed(verdict: Callable[[Column, Column], Column]) -> float:
+        job = sample.select(F.explode(F.array_repeat("text", COPIES)).alias("text")).agg(F.count_if(bind(words_of(t), lambda w: verdict(t, w))))
         took = []
-        for _ in range(2):
+        for _ in range(TIMES):
             began = time.perf_counter()
-            rejected = verdict.agg(F.avg(F.coalesce("r", F.lit(1.0)))).first()[0]
+            job.first()
             took.append(time.perf_counter() - began)
-        estimates.append(Estimate(rule.name, min(took), rejected))
-    by_name = {e.name: e for e in estimates}
-    return tuple(sorted(rules, key=lambda r: (-by_name[r.name].worth, r.name))), estimates
+        return min(took) / COPIES
+
+    without = timed(lambda t, w: F.size(w) < 0)
+    seconds = {r.name: max(timed(v) - without, 1e-4) for r, v in zip(rules, verdicts)}
+    discard(sample)
+    return by_worth(rules, seconds, patterns)
 
 
-def first_rejection(text: Column, rules: tuple[Rule, ...], measured: dict[str, Column] | None = None) -> Column:
+def first_rejection(text: Column, words: Column, rules: tuple[Rule, ...]) -> Column:
     """The first rule, in the order given, that rejects the text; null if none does."""
-    measured = measured or lazy_measures(text)
-    verdict = None
-    for rule in rules:
-        hit = F.coalesce(rule.rejects(text, measured), F.lit(True))
-        verdict = F.when(hit, F.lit(rule.name)) if verdict is None else verdict.when(hit, F.lit(rule.name))
+    verdict = F.lit(None).cast("string")
+    for rule in reversed(rules):
+        verdict = F.when(F.coalesce(rule.rejects(text, words), F.lit(True)), F.lit(rule.name)).otherwise(verdict)
     return verdict
 
 
+def rejection(text: Column, rules: tuple[Rule, ...]) -> Column:
+    """The same of a text that may be null, its words split once."""
+    text = F.coalesce(text, F.lit(""))
+    return bind(words_of(text), lambda w: first_rejection(text, w, rules))
+
+
+def judged(docs: DataFrame, rules: tuple[Rule, ...] = OWN_RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, the base's measures, base_failed, and kept: not base_failed and rejected by none of rules, which are looked at only then."""
+    t = F.coalesce(F.col(text), F.lit(""))
+
+    def verdict(words: Column) -> Column:
+        n = n_words(words)
+
+        def given(repeats: Column) -> Column:
+            failed = (n < 10) | (100 * repeats > 20 * n)
+            return F.struct(n.alias("n_words"), repeats.alias("n_repeat_words"), failed.alias("base_failed"), F.when(failed, False).otherwise(first_rejection(t, words, rules).isNull()).alias("kept"))
+
+        return bind(n_repeat_words(words), given)
+
+    measured = docs.select(F.col(key).alias("_key"), bind(words_of(t), verdict).alias("v"), word_chars(t).alias("word_chars"), n_symbols(t).alias("n_symbols"), n_dup_lines(t).alias("n_dup_lines"))
+    return measured.select(F.col("_key").alias(key), "v.n_words", "word_chars", "n_symbols", "n_dup_lines", "v.n_repeat_words", "v.base_failed", "v.kept")
+
+
 def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """docs without the rejected ones; all columns stay."""
     ordered, _ = plan(docs, rules, text)
-    return docs.where(first_rejection(F.col(text), ordered).isNull())
+    return docs.where(rejection(F.col(text), ordered).isNull())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veinstone.llm import license as licences
 from veinstone.llm import langid, lm, mixing, neardup, pieces, pii, quality, vectors, warc
-from veinstone.llm.common import crc_mod, new_folder, table
+from veinstone.llm.common import crc_mod, new_folder, remove, table, until_exit
 
 #: Where the public vocabularies lie; a parameter of the operator, never part of this repository.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -20,7 +20,10 @@ WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, out = new_folder(spark, "arc"), new_folder(spark, "warc")
     warc.write_arc(table(spark, sf_dir, "pages"), arc)
+    until_exit(spark, arc)
     warc.convert(spark, arc, out)
+    until_exit(spark, out)
+    remove(spark, arc)
     return warc.warc_records(spark, out).select(F.col("order").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "digests_agree")
 
 
@@ -37,12 +40,8 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rules, _ = quality.plan(docs)
-    m = quality.measures(docs)
-    measured = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    rejected = quality.first_rejection(F.col("text"), rules, measured).isNotNull()
-    return m.select("doc_id", *measured, failed.alias("base_failed"), (~failed & ~rejected).alias("kept"))
+    rules, _ = quality.plan(docs, quality.OWN_RULES)
+    return quality.judged(docs, rules)
 
 
 OP3_SQL = rf"""
@@ -62,7 +61,7 @@ from m"""
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.classes(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    return neardup.classes(table(spark, sf_dir, "documents"))
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
