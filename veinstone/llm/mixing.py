@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veinstone.llm.common import bind, written
+from veinstone.llm.common import bind, fresh, written
 
 #: The largest mean that is inverted in one piece.
 PART = 16.0
@@ -54,8 +54,9 @@ def poisson_quantile(u: Column, mean: Column) -> Column:
 
 def counts(docs: DataFrame, rates: DataFrame, seed: int = 0, key: str = "doc_id", source: str = "source") -> DataFrame:
     """docs with rate (mean repetition rate) and n_copies."""
-    rates = rates.select(F.col("source").alias("__source"), F.col("rate"))
-    joined = docs.drop("rate", "n_copies").join(rates, F.col(source).eqNullSafe(F.col("__source")), "left").drop("__source")
+    (own,) = fresh(docs, "source")
+    rates = rates.select(F.col("source").alias(own), F.col("rate"))
+    joined = docs.drop("rate", "n_copies").join(rates, F.col(source).eqNullSafe(F.col(own)), "left").drop(own)
     rate = F.coalesce(F.col("rate"), F.lit(0.0))
     parts = F.greatest(F.ceil(rate / PART), F.lit(1)).cast("int")
     one = lambda i: bind(hashed_uniform(F.lit(seed), F.col(key), i), lambda u: poisson_quantile(u, rate / parts))
