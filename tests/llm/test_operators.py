@@ -64,6 +64,49 @@ def test_warc_round_trip(spark, tmp_path):
     assert sorted(r["record_type"] for r in got if r["order"] == 7) == ["response", "revisit"]
 
 
+def test_warc_members_and_clashing_columns(spark, tmp_path):
+    """Each record is a gzip member of its own, whatever other columns the rows have."""
+    pages = spark.createDataFrame([(k, "u", f"page {k} " * 300, "f", 0, "x") for k in range(5)], "page_id long, url string, html string, file string, offset long, value string")
+    warc.write_arc(pages.coalesce(1), str(tmp_path / "arc"))
+    warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    for folder, mark, n in (("arc", b"", 6), ("warc", b"WARC/1.0", 6)):
+        (file,) = (tmp_path / folder).glob("part-*")
+        data, members = file.read_bytes(), []
+        while data:
+            inflate = zlib.decompressobj(31)
+            members.append(inflate.decompress(data))
+            assert inflate.eof
+            data = inflate.unused_data
+        assert len(members) == n and all(m.startswith(mark) for m in members)
+    assert [r["payload_bytes"] for r in warc.warc_records(spark, str(tmp_path / "warc")).collect()] == [2100] * 5
+
+
+def test_gzip_members_end_in_zero():
+    for data in (b"", b"x", bytes(range(256)) * 65536):
+        squeezed = warc.member(data)
+        assert squeezed.endswith(b"\0") and b"".join(warc.Stream._unzipped(squeezed, 4096)) == data
+
+
+def test_broken_archives(spark, tmp_path):
+    """What comes before the break is kept; the rest is one metadata record."""
+    good = warc.arc_segment([("http://x/", 3, b"payload")], "1", "n", wrap=warc.member)
+    line = b"http://x/ 0 0 text/html "
+    rests = [warc.member(line + b"-5\nabc"), warc.member(line + b"99\nshort"), warc.member(line + b"many\nabc"), warc.member(b"no header\n"), b"\x1f\x8b garbage", good[:-20], warc.member(b"x" * 3_000_000)]
+    for k, rest in enumerate(rests):
+        records = list(warc.read_arc(good + rest))
+        assert [r["broken"] for r in records][:2] == [False, False] and records[-1]["broken"] and len(records) == (4 if k == 5 else 3)
+        (tmp_path / "arc").mkdir(exist_ok=True)
+        (tmp_path / "arc" / f"{k}.arc.gz").write_bytes(good + rest)
+    warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    got = warc.warc_records(spark, str(tmp_path / "warc")).collect()
+    assert sorted(r["record_type"] for r in got) == ["metadata"] * 7 + ["response"] * 7
+    assert all("broken at" in r["note"] for r in got if r["record_type"] == "metadata")
+    whole = warc.warc_record(b"HTTP/1.1 200 OK\r\n\r\nx", "f", 0, warc.described(next(r for r in warc.read_arc(good) if r["url"] == "http://x/")))
+    for bad in (whole + b"WARC/1.0\r\nWARC-Type: response\r\n\r\n", whole + b"WARC/1.0\r\nContent-Length: -1\r\n\r\n", whole + whole[:-10], whole + b"junk\n"):
+        records = list(warc.read_warc(bad))
+        assert [h["warc-type"] for h, _ in records] == ["response", "metadata"]
+
+
 def test_warc_empty(spark, tmp_path):
     warc.write_arc(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "a"))
     warc.convert(spark, str(tmp_path / "a"), str(tmp_path / "w"))
@@ -76,8 +119,7 @@ def test_arc_versions():
         about, first, second = warc.read_arc(segment)
         assert about["url"] == "filedesc://n" and first["version"] == version and warc.http_parts(first["block"])[1] == b"a\nb" and second["url"] == "dns:x"
     assert warc.iso_date("199612") == "1996-12-01T00:00:00Z" or warc.iso_date("19961231") == "1996-12-31T00:00:00Z"
-    with pytest.raises(ValueError):
-        list(warc.read_arc(b"http://x/ 0 0 text/html 99\nshort"))
+    assert [r["broken"] for r in warc.read_arc(b"http://x/ 0 0 text/html 99\nshort")] == [True]
 
 
 # --- SentencePiece -----------------------------------------------------------------------------
@@ -113,6 +155,19 @@ def test_pieces_best_path_and_round_trip():
             assert scores[i] == pytest.approx(brute_best(v, t))
 
 
+def test_pieces_long_words():
+    """What is cut has the best score of the whole, and comes back."""
+    v = pieces.Vocabulary.of(small_vocabulary())
+    r = np.random.default_rng(6)
+    for alphabet in ("abc", "ab日本é", "日本語"):
+        text = "".join(r.choice(list(alphabet), 700))
+        word = ("▁" + text).encode()
+        (ids, score), (own, _, scores) = v.encode_word(word), v.encode_words([word])
+        assert scores[0] == pytest.approx(score) == pytest.approx(brute_best(v, text)) and v.decode(own.tolist()) == v.decode(ids) == text
+        assert v.cuts(word)[-1] == len(word)
+    assert len(v.cuts("日本語".encode() * 50)) == 150
+
+
 def test_pieces_agree_with_library():
     """The same pieces in a Unigram model of the public library: the ids agree."""
     import sentencepiece
@@ -165,11 +220,15 @@ def repeat_words(words):
 
 
 def test_quality_measures(spark, rows, odd):
-    for r in quality.measures(odd).collect():
-        words = WORD.findall(r["text"] or "")
-        lines = [x for x in (r["text"] or "").split("\n") if WORD.search(x)]
+    texts = {r["doc_id"]: r["text"] for r in odd.collect()}
+    for r in quality.judged(odd).collect():
+        text = texts[r["doc_id"]] or ""
+        words = WORD.findall(text)
+        lines = [x for x in text.split("\n") if WORD.search(x)]
         assert r["n_words"] == len(words) and r["word_chars"] == sum(map(len, words)) and r["n_repeat_words"] == repeat_words(words)
-        assert r["n_dup_lines"] == len(lines) - len(set(lines)) and r["n_symbols"] == len(re.findall(r"[#*$%&|<>]", r["text"] or ""))
+        assert r["n_dup_lines"] == len(lines) - len(set(lines)) and r["n_symbols"] == len(re.findall(r"[#*$%&|<>]", text))
+        assert r["base_failed"] == (len(words) < 10 or 100 * repeat_words(words) > 20 * len(words)) and (not r["kept"] or not r["base_failed"])
+    assert quality.judged(odd).count() == odd.count()
 
 
 def test_quality_order_does_not_matter(documents, odd, empty):
@@ -177,11 +236,30 @@ def test_quality_order_does_not_matter(documents, odd, empty):
 
     docs = documents.select("doc_id", "text").union(odd.select("doc_id", "text"))
     ordered, estimates = quality.plan(docs)
-    assert {r.name for r in ordered} == {r.name for r in quality.RULES} and len(estimates) == len(quality.RULES)
-    verdicts = [[r[0] for r in docs.select(quality.first_rejection(F.col("text"), o).isNull()).collect()] for o in (quality.RULES, quality.RULES[::-1], ordered)]
+    assert {r.name for r in ordered} == {r.name for r in quality.RULES} and [e.name for e in estimates] == [r.name for r in ordered]
+    verdicts = [[r[0] for r in docs.select(quality.rejection(F.col("text"), o).isNull()).collect()] for o in (quality.RULES, quality.RULES[::-1], ordered)]
     assert verdicts[0] == verdicts[1] == verdicts[2] and any(verdicts[0]) and not all(verdicts[0])
-    assert quality.filter_documents(empty).count() == 0
+    assert quality.plan(empty) == (quality.RULES, []) and quality.filter_documents(empty).count() == 0 and quality.judged(empty).count() == 0
     assert quality.filter_documents(odd).columns == odd.columns
+    assert sorted(r["doc_id"] for r in quality.filter_documents(docs).collect()) == sorted(r["doc_id"] for r in quality.judged(docs).where("kept").collect())
+
+
+def test_quality_rules_by_worth():
+    """A rule counts for what those before it leave."""
+    a, b, c = (quality.Rule(n, None, "") for n in "abc")
+    ordered, estimates = quality.by_worth((a, b, c), {"a": 1.0, "b": 2.0, "c": 1.0}, {0b000: 50, 0b001: 10, 0b011: 30, 0b100: 10})
+    assert [r.name for r in ordered] == ["a", "c", "b"] and [round(e.rejected, 3) for e in estimates] == [0.4, 0.167, 0.0]
+
+
+def test_quality_sample_comes_from_everywhere(spark):
+    """The planner sees rows that stand at the end of the table."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, F.lit("# | # | # | # | # | # |")).otherwise(F.lit("short")).alias("text"))
+    _, estimates = quality.plan(docs, sample_rows=400)
+    found = {e.name: e.rejected for e in estimates}
+    assert 0 < sum(found.values()) and all(x <= 1 for x in found.values())
+    assert 0.3 < found[estimates[0].name] <= 1
 
 
 # --- near-duplicates ---------------------------------------------------------------------------
@@ -215,7 +293,9 @@ def test_near_duplicates(spark, rows, odd, empty):
     texts = {r["doc_id"]: r["text"] for r in rows}
     got = {r["doc_id"]: r["class_id"] for r in queries.op4_near_duplicates(spark, SF).collect()}
     assert got == brute_classes(texts) and len(set(got.values())) < len(got)
-    assert {r["doc_id"]: r["class_id"] for r in neardup.classes(odd).collect()} == brute_classes(dict(enumerate(ODD)))
+    found = neardup.classes(odd).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == brute_classes(dict(enumerate(ODD))) and len(found) == odd.count()
+    assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in found)
     assert neardup.classes(empty).count() == 0
     assert neardup.deduplicate(odd).count() == len(ODD) and neardup.deduplicate(odd).columns == odd.columns
 
@@ -228,6 +308,32 @@ def test_near_duplicates_without_keys(spark):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(0, text(1)), (0, text(2)), (7, text(3)), (7, text(4)), (9, text(5))])
 
 
+def test_near_duplicates_of_any_key(spark):
+    """Keys of text, equal keys with different texts, and none: links are found whatever the keys."""
+    base = [f"w{i}" for i in range(60)]
+    near = lambda k: " ".join(base[:k] + [f"x{k}"] + base[k + 1 :])
+    far = lambda k: " ".join(f"v{k}y{i}" for i in range(30))
+    data = [("b", near(3)), ("a", far(1)), ("a", near(59)), ("c", far(2)), (None, far(2)), (None, far(3)), ("d", "one"), ("e", None), ("a", near(59))]
+    docs = spark.createDataFrame(data, "name string, text string")
+    got = sorted((str(r["name"]), str(r["class_id"]), r["kept"]) for r in neardup.classes(docs, "name").collect())
+    assert got == sorted([("b", "a", False), ("a", "a", True), ("a", "a", True), ("a", "a", True), ("c", "c", True), ("None", "c", False), ("None", "None", True), ("d", "d", True), ("e", "e", True)])
+    left = sorted((str(r["name"]), r["text"] or "") for r in neardup.deduplicate(docs, "name").collect())
+    assert left == sorted([("a", far(1)), ("a", near(59)), ("c", far(2)), ("None", far(3)), ("d", "one"), ("e", "")])
+
+
+def test_near_duplicates_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, 6, 7), (2, "a b c", 8, 9, 1), (2, "a b c", 8, 9, 1)], "doc_id long, text string, __h1 long, `__N` long, h2 long")
+    assert [tuple(r) for r in neardup.deduplicate(docs).collect()] == [(1, "a b c", 5, 6, 7)]
+
+
+def test_near_duplicates_do_not_depend_on_order(spark):
+    r = np.random.default_rng(9)
+    texts = [" ".join([f"t{k % 7}w{i}" for i in range(40)] + [f"z{k % 3}"]) for k in range(60)]
+    data = [(int(x), t) for x, t in zip(r.integers(0, 20, 60), texts)]
+    results = [sorted((x["doc_id"], x["class_id"], x["kept"]) for x in neardup.classes(spark.createDataFrame([data[i] for i in r.permutation(60)], "doc_id long, text string")).collect()) for _ in range(2)]
+    assert results[0] == results[1] and len(results[0]) == 60
+
+
 def test_near_duplicate_chains(spark, monkeypatch):
     """Members of a bucket that its first does not resemble are linked among themselves, in tiles too."""
     r = np.random.default_rng(3)
@@ -239,6 +345,7 @@ def test_near_duplicate_chains(spark, monkeypatch):
             own[i] = f"n{r.integers(0, 9)}"
         texts[k] = " ".join(own)
     monkeypatch.setattr(neardup, "TILE", 8)
+    monkeypatch.setattr(neardup, "LOT_SHINGLES", 500)
     got = {x["doc_id"]: x["class_id"] for x in neardup.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert got == brute_classes(texts)
 
@@ -271,6 +378,61 @@ def test_language(spark, rows, odd, empty, documents):
     assert {r["lang_pred"] for r in langid.predict(odd, {}).collect()} == {"und"}
 
 
+def brute_language(texts, learn):
+    """Prototypes and predictions with plain loops."""
+    d = langid.DIMENSIONS
+
+    def profile(text):
+        s = " " + re.sub(" +", " ", "".join(c.lower()[0] if c.isalpha() else " " for c in text)).strip(" ") + " "
+        s = s if s.strip() else ""
+        total = np.zeros(d)
+        for x, y, z in zip(s, s[1:], s[2:]):
+            v = [langid.letter_vector(0 if c == " " else ord(c)).astype(float) for c in (x, y, z)]
+            total += np.roll(v[0], 2) * np.roll(v[1], 1) * v[2]
+        return total if s else None
+
+    planes = {}
+    for text, label in learn:
+        if (p := profile(text)) is not None:
+            planes[label] = planes.get(label, 0) + p
+    planes = {k: v / np.linalg.norm(v) for k, v in sorted(planes.items())}
+    out = []
+    for text in texts:
+        p = profile(text or "")
+        out.append(("und", 0.0) if p is None else max(((k, float(v @ p / np.linalg.norm(p))) for k, v in planes.items()), key=lambda x: x[1]))
+    return out
+
+
+def test_language_brute_force(spark, rows, documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    some = [r for r in rows if r["lang"] and len(r["text"] or "") < 3000][:40]
+    texts = [r["text"] for r in some] + ["straße über", "İi 日本語 日本", "x", "1 2", None, "der die das " * 40]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    planes = langid.fit(spark.createDataFrame([(r["doc_id"], r["text"], r["lang"]) for r in some], "doc_id long, text string, lang string"), F.lit(True))
+    want = brute_language(texts, [(r["text"], r["lang"]) for r in some])
+    for kept in (1 << 16, 100):  # with and without vectors kept for the chunk
+        monkeypatch.setattr(langid, "KEPT", kept)
+        got = {r["doc_id"]: r for r in langid.predict(docs, planes).collect()}
+        for i, (label, score) in enumerate(want):
+            assert got[i]["lang_pred"] == label and got[i]["score"] == pytest.approx(max(0.0, score), abs=1e-5)
+
+
+def test_language_sample_keeps_every_label(spark):
+    """Rare labels survive beside frequent ones, and no number of rows rounds a share to nothing."""
+    from pyspark.sql import functions as F
+
+    assert langid.shares({"en": 10**11, "gd": 3}, 5000) == {"en": 5e-8, "gd": 1.0}
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2, "gd").otherwise("en").alias("lang"), F.when(F.col("id") < 2, "tha mi a dol").otherwise("the end of it").alias("text"))
+    assert set(langid.fit(docs, F.lit(True), rows=50)) == {"en", "gd"}
+    assert {r["lang"]: r["count"] for r in langid.sampled(docs, "doc_id", "lang", 50).groupBy("lang").count().collect()}["en"] in range(20, 90)
+
+
+def test_language_ties(spark):
+    planes = {"aa": np.ones(langid.DIMENSIONS) / 32, "bb": np.ones(langid.DIMENSIONS) / 32}
+    assert {r["lang_pred"] for r in langid.predict(spark.createDataFrame([(1, "some words"), (2, "mehr")], "doc_id long, text string"), planes).collect()} <= {"aa"}
+
+
 # --- language model ----------------------------------------------------------------------------
 
 
@@ -331,6 +493,44 @@ def test_lm_order_of_words(spark):
     assert got[100] > got[101] + 2 and got[102] > got[103] + 2
 
 
+def brute_scores(texts, train):
+    """Scores by plain formulas, with counts read from the same filters and the weight that leaves training tokens the most probable."""
+    told = [tokens(t) for t in texts]
+    c = Counter(t for own, use in zip(told, train) if use for t in own)
+    n, v, n_ends = c.total(), len(c), c[None]
+    words = sorted({t for own in told for t in own if t is not None})
+    total = float(sum(c[w] * (len(w) + 1) for w in words))
+    keys, counts = lm.keyed(*lm.counted(words, np.array([c[w] for w in words])))
+    grams = lm.Model(lm.filled(keys[counts > 0], counts[counts > 0]), 0.0, 0.0)
+    p = dict(zip(words, lm.word_scores(words, total, lambda items: grams.levels(items >> np.uint64(16), np.full(len(items), 99))).astype(np.float32).astype(float)))
+    h = dict(zip(words, lm.hash_strings(pa.array(words)))) | {"START": np.uint64(lm.START), None: np.uint64(lm.END)}
+    key = lambda a, b: lm.mix64(np.array([h[a]], np.uint64) * np.uint64(0x9FB21C651E98DF25) + h[b])[0] >> np.uint64(16)
+    pairs = Counter(key(a, b) for own, use in zip(told, train) if use for a, b in zip(["START", *own], own))
+    held = lm.Model(lm.filled(np.array(sorted(pairs), np.uint64), np.array([pairs[k] for k in sorted(pairs)])), 0.0, 0.0)
+    ends = n_ends / n
+
+    def score(own, mu, out):
+        total = 0.0
+        for a, b in zip(["START", *own], own):
+            ca, cb = n_ends if a == "START" else c[a], c[b]
+            count = min(float(lm.count_of(held.levels(np.array([key(a, b)], np.uint64), np.array([99])))[0]), ca, cb)
+            p1 = (max(cb - out, 0) + v * (ends if b is None else 10 ** p[b] * (1 - ends))) / (n - out + v)
+            total += math.log10((max(count - out, 0) + mu * p1) / (max(ca - out, 0) + mu))
+        return total
+
+    mu = max(lm.MUS, key=lambda m: sum(score(own, m, 1) for own, use in zip(told, train) if use))
+    return [score(own, mu, 0) for own in told]
+
+
+def test_lm_score_brute_force(spark, rows):
+    texts = [r["text"] for r in rows[:60]] + [t for t in ODD if t is None or len(t) < 1000]
+    train = [k % 5 != 0 for k in range(len(texts))]
+    docs = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(zip(texts, train))], "doc_id long, text string, train boolean")
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, docs["train"]).collect()}
+    for k, want in enumerate(brute_scores(texts, train)):
+        assert got[k] == pytest.approx(want, rel=1e-6), k
+
+
 def test_lm_filters_hold_pairs_in_shards():
     """Levels of packed keys come back in the keys' order from any number of shards, at one error rate."""
     rng = np.random.default_rng(3)
@@ -351,12 +551,49 @@ def test_lm_filters_hold_pairs_in_shards():
 
 
 def test_licences(spark, odd, empty):
-    texts = {1: license.TEMPLATES["MIT-text"], 2: "intro\nLicensed under the Apache License, Version 2.0.\nend", 3: "Released under the MIT licence", 4: "# " + license.TEMPLATES["GPL-3.0"] + ".\n\nreleased  UNDER the mit License!", 5: "under the License"}
+    texts = {1: license.NOTICES["MIT-text"], 2: "intro\nLicensed under the Apache License, Version 2.0.\nend", 3: "Released under the MIT licence", 4: "# " + license.NOTICES["GPL-3.0"] + ".\n\nreleased  UNDER the mit License!", 5: "under the License"}
     got = {r["doc_id"]: r["licenses"] for r in license.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert got == {1: "MIT-text", 2: "Apache-2.0", 3: "", 4: "GPL-3.0,MIT", 5: ""}
     assert all(r["n_matches"] == 0 for r in license.scan(odd).collect()) and license.scan(empty).count() == 0
 
 
+def brute_licences(text, templates):
+    """The matches of every window that a template's words could fill with a third of its bigrams in place."""
+    words = license.normal_words(text or "")
+    grams, found = list(zip(words, words[1:])), []
+    for rank, t in enumerate(templates.values()):
+        placed = license.bigrams_of(t)
+        m, own = len(placed), set(placed)
+        votes = Counter(max(i - placed.index(x), 0) for i, x in enumerate(grams) if x in own)
+        for a, n in votes.items():
+            window = set(grams[a : a + m])
+            both = len(window & own)
+            if 3 * n >= len(own) and 20 * both >= 9 * (len(window) + len(own)):
+                found.append((a, min(a + m, len(grams)), 2000 * both // (len(window) + len(own)), rank))
+    inside = lambda x, o: o[0] <= x[0] and o[1] >= x[1] and (o[1] - o[0] > x[1] - x[0] or o[2] > x[2] or o[2] == x[2] and o[3] < x[3])
+    return [x for x in found if not any(inside(x, o) for o in found)]
+
+
+def test_licences_wrapped_and_whole(spark):
+    """Notices in comments over code, whole licence texts, texts with a few words changed, and ties."""
+    import textwrap
+
+    every = license.templates_of()
+    header, mit = license.NOTICES["GPL-3.0-header"], license.NOTICES["MIT-text"]
+    comment = lambda t, mark: "\n".join(mark + x for x in textwrap.wrap(t, 40))
+    code = "\nint main(void)\n{\n  return the_value(of, a, thing);\n}\n"
+    texts = [comment(header, " * ") + code, "#!/bin/sh\n" + comment(mit, "# ") + code + comment(header, "// "), every["GPL-3.0-text"], "x y z " + every["Apache-2.0-text"] + code, every["GPL-2.0-text"].replace("the", "teh"), mit.replace("sublicense", "sell again"), header * 3, None, "", code * 200]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = list(every)
+    for r in license.scan(docs).collect():
+        want = brute_licences(texts[r["doc_id"]], every)
+        assert (r["n_matches"], r["licenses"], r["best_dice"]) == (len(want), ",".join(sorted({names[x[3]] for x in want})), max((x[2] for x in want), default=0)), r["doc_id"]
+    got = {r["doc_id"]: r["licenses"] for r in license.scan(docs).collect()}
+    assert got[0] == "GPL-3.0-header" and got[1] == "GPL-3.0-header,MIT-text" and got[2].startswith("GPL-3.0-text") and "Apache-2.0-text" in got[3] and got[5] == "MIT-text" and got[9] == ""
+    same = {"b": "one two three four five", "a": "one two three four five"}
+    assert license.scan(spark.createDataFrame([(1, "zero one two three four five six")], "doc_id long, text string"), templates=same).first()["licenses"] == "b"
+
+
 # --- personal data -----------------------------------------------------------------------------
 
 PLAIN = {
@@ -405,6 +642,59 @@ def test_personal_data_model_finds_more():
     assert pii.redacted(text, every) == "write to <EMAIL> or call <PHONE> now"
 
 
+@pytest.mark.parametrize("n", [5, 30, 50, 80, 400])
+def test_personal_data_of_any_length(n):
+    """Long local parts, domains and words around them are read to their ends, and spans are where the short form has them."""
+    r = np.random.default_rng(n)
+    model, name = pii.train(), "".join(r.choice(list("abcdefghij"), n))
+    for text, start, stop in ((f"write to {name} [at] mail.com now", 9, 23 + n), (f"write to ann [at] {name}.com now", 9, 22 + n), (f"write to ann [at] {name} [dot] com now", 9, 28 + n), (f"{name} " * 3 + "call 555-123-4567 now", 3 * n + 8, 3 * n + 20)):
+        (_, every), = pii.spans_of([text], model)
+        assert [s[1:] for s in every] == [(start, stop)], text
+
+
+def test_shapes_of_whole_tokens():
+    assert pii.shape("a" * 40 + "1") == "x+d" and pii.shape("a" * 23 + "1") == "x+d" and pii.shape("aB1") == "xXd" and pii.shape("at") == "w:at"
+
+
+def test_stretches_are_linear_and_whole():
+    blob = "a1" * 300_000
+    assert pii.stretches(blob) == [(0, len(blob))] and pii.stretches("x\n" + blob + "\ny") == [(2, 2 + len(blob))]
+    assert pii.stretches("no trigger here") == []
+
+
+def test_viterbi_is_the_best_path():
+    """The decoded labels have the largest sum over all label sequences."""
+    from itertools import product
+
+    r = np.random.default_rng(4)
+    shapes = {"": 0, "|": 1, "a": 2, "b": 3}
+    k = len(pii.LABELS)
+    model = pii.Model(shapes, r.standard_normal((5, 4, k)), r.standard_normal((k, k)), r.standard_normal(k))
+    sequences = [list(r.choice(["a", "b", "c"], n)) for n in (1, 2, 3, 4, 4, 3)]
+    for cells in (1 << 18, 3):
+        for own, labels in zip(sequences, model.decode(sequences, cells)):
+            ids = np.array([shapes.get(s, 0) for s in own])
+            wide = np.pad(ids, 2, constant_values=1)
+            emit = np.array([sum(model.emit[o][wide[t + o]] for o in range(5)) for t in range(len(own))])
+            total = lambda y: model.first[y[0]] + emit[range(len(y)), list(y)].sum() + sum(model.moves[a, b] for a, b in zip(y, y[1:]))  # noqa: B023,E731
+            assert total(tuple(labels)) == pytest.approx(max(total(y) for y in product(range(k), repeat=len(own))))
+
+
+def test_personal_data_in_other_prose():
+    """Sentences that the rule which makes the training table did not write."""
+    model = pii.train()
+    found = {
+        "Please mail Jane Doe at jane_doe (at) university (dot) edu before Friday.": ["jane_doe (at) university (dot) edu"],
+        "Our new office line is (212) 555-0147, ask for Tim.": ["(212) 555-0147"],
+        "card no. 4111.1111.1111.1111 expired in 05/27": ["4111.1111.1111.1111"],
+    }
+    for text, want in found.items():
+        (_, every), = pii.spans_of([text], model)
+        assert [text[a:b] for _, a, b in every] == want
+    for text in ("We met at noon on 12 May 2021 and paid 1,250.00 dollars.", "See chapter 3.2.1, pages 110-119, table 4.", "The dot on the map is at 45 degrees north."):
+        assert pii.spans_of([text], model)[0][1] == []
+
+
 def test_redaction_keeps_columns(spark, odd):
     out = pii.redact(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
@@ -422,6 +712,15 @@ def test_mixing(spark, documents, odd, empty):
     assert mixing.replicate(empty).count() == 0 and set(odd.columns) <= set(mixing.replicate(odd).columns)
 
 
+def test_mixing_clashing_columns(spark):
+    """The operator's own columns replace those of the input; others stay as they are."""
+    docs = spark.createDataFrame([(i, "t", f"s{i % 2}", 9.0, 9, 9, 9, "keep") for i in range(200)], "doc_id long, text string, source string, rate double, n_copies long, copy long, order_key long, __source string")
+    got = mixing.replicate(docs, {"s0": 1, "s1": 1}, total=400)
+    assert sorted(got.columns) == sorted(docs.columns)
+    rows = got.collect()
+    assert {r["__source"] for r in rows} == {"keep"} and {r["rate"] for r in rows} == {2.0} and all(1 <= r["copy"] <= r["n_copies"] for r in rows)
+
+
 def test_poisson_quantile(spark):
     from pyspark.sql import functions as F
 
@@ -468,8 +767,37 @@ def test_vectors(spark, monkeypatch):
     x = [(base[k % 6] + r.standard_normal(40) * 0.16).tolist() for k in range(150)]
     x += [x[0], [-c for c in x[0]], [c * 1e-30 for c in x[1]], None, [], [0.0] * 40, [float("nan")] * 40, [None] + [1.0] * 39, [1.0, 2.0], [2.0, 4.0], [float("inf")] + [0.0] * 39]
     frame = spark.createDataFrame([(i, v, "z") for i, v in enumerate(x)], "vec_id long, embedding array<double>, id string")
-    for tile in (2048, 7):
-        monkeypatch.setattr(vectors, "TILE", tile)
+    for lot, step in ((8192, 2048), (40, 16), (7, 3)):
+        monkeypatch.setattr(vectors, "LOT", lot)
+        monkeypatch.setattr(vectors, "STEP", step)
         got = as_result(vectors.near_duplicates(frame))
         assert got == brute_vectors(list(range(len(x))), x)
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_vectors_at_the_boundary(spark, monkeypatch):
+    """Pairs within rounding of the threshold are judged by the cosine of the vectors as they came; keys may be texts or null."""
+    r = np.random.default_rng(5)
+    x = []
+    for _ in range(40):
+        a, b = r.standard_normal((2, 32))
+        a /= np.linalg.norm(a)
+        b -= a * (a @ b)
+        b /= np.linalg.norm(b)
+        for off in (-1e-15, 0.0, 1e-15):
+            x += [(a * 3).tolist(), ((a * (0.95 + off) + b * math.sqrt(1 - (0.95 + off) ** 2)) * 7).tolist()]
+    frame = spark.createDataFrame([(f"k{i:04d}", v) for i, v in enumerate(x)], "vec_id string, embedding array<double>")
+    n = len(x)
+    data = np.array(x)
+    cosine = np.array([[(data[i] * data[j]).sum() / (math.sqrt((data[i] ** 2).sum()) * math.sqrt((data[j] ** 2).sum())) for j in range(n)] for i in range(n)])
+    links = (cosine >= 0.95).sum(1) - 1
+    monkeypatch.setattr(vectors, "LOT", 50)
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(frame).collect()}
+    sure = [i for i in range(n) if (np.abs(cosine[i] - 0.95) > 4e-16).all()]
+    assert all(got[f"k{i:04d}"] == links[i] for i in sure) and len(sure) > 20
+    nulls = vectors.near_duplicates(spark.createDataFrame([(None, [1.0, 0.0]), (None, [1.0, 0.01]), ("b", [1.0, 0.02]), (None, None)], "vec_id string, embedding array<float>")).collect()
+    assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in nulls) == [("None", 0, "None"), ("None", 2, "b"), ("None", 2, "b"), ("b", 2, "b")]
+
+
+def test_grid_grows_with_the_table():
+    assert [vectors.grid_for(n, 64, 0.95) for n in (100, 10**5, 10**6, 10**8)] == [0, 3, 4, 4] and vectors.grid_for(10**9, 768, 0.95) == 2

@@ -29,7 +29,7 @@ def test_columns(steps):
 
 def test_quality_rules(spark, steps):
     docs, result = steps[0]
-    measured = {r["doc_id"]: r for r in quality.measures(docs).collect()}
+    measured = {r["doc_id"]: r for r in quality.judged(docs).collect()}
     kept = {r["doc_id"] for r in result.collect()}
     for r in docs.collect():
         m = measured[r["doc_id"]]
