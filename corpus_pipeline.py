@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinstone.llm import mixing, neardup, pieces, pii, quality
-from veinstone.llm.common import table, written
+from veinstone.llm.common import discard, fresh, table, written
 from veinstone.llm.queries import PIECES
 
 
@@ -29,8 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind; n_chars follows a changed text."""
-    clean = pii.redact(docs.withColumn("__was", F.length("text")))
-    changed = F.length("text") != F.col("__was")
+    (was,) = fresh(docs, "text")
+    clean = pii.redact(docs.withColumn(was, F.length("text")))
+    changed = F.length("text") != F.col(was)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return clean.select(*docs.columns)
@@ -62,7 +63,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = written(docs, name)
+            if k:
+                discard(before)
     return docs
