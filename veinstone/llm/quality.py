@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +43,9 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda s: F.translate(s, SPACE, "") != "")
 
 
-def n_dup_lines(text: Column) -> Column:
-    return bind(lines_of(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
+def lines(text: Column) -> Column:
+    """struct(n, dup): lines that hold a word, and those equal to an earlier one."""
+    return bind(lines_of(text), lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
 
 
 def n_repeat_words(words: Column, n: int = WINDOW) -> Column:
@@ -73,12 +74,27 @@ def n_repeat_words(words: Column, n: int = WINDOW) -> Column:
     return bind(hashed, lambda w: F.when(F.size(w) <= n, F.lit(0).cast("long")).otherwise(bind(windows(w), count)))
 
 
+@dataclass(frozen=True)
+class Measures:
+    """What rules look at. Where a measure is not given, it is an expression that is evaluated in the branch that needs it."""
+
+    text: Column
+    words: Column
+    given: dict[str, Column] = field(default_factory=dict)
+
+    def __getattr__(self, name: str) -> Column:
+        makers = {"n_words": lambda: n_words(self.words), "n_repeat_words": lambda: n_repeat_words(self.words), "word_chars": lambda: word_chars(self.text), "n_symbols": lambda: n_symbols(self.text), "lines": lambda: lines(self.text), "n_letters": lambda: n_letters(self.text)}
+        if name not in makers:
+            raise AttributeError(name)
+        return self.given[name] if name in self.given else makers[name]()
+
+
 @dataclass(frozen=True)
 class Rule:
-    """rejects: of a text (not null) and its words, true for a text to be rejected; sql: the same for DuckDB over measures by name."""
+    """rejects: of the measures of a text (not null), true for a text to be rejected; sql: the same for DuckDB over measures by name."""
 
     name: str
-    rejects: Callable[[Column, Column], Column]
+    rejects: Callable[[Measures], Column]
     sql: str
 
 
@@ -92,15 +108,15 @@ def n_letters(text: Column) -> Column:
 
 #: Rules that the base of op3 states itself; thresholds as integers, so that every engine agrees.
 BASE_RULES = (
-    Rule("too_short", lambda t, w: n_words(w) < 10, "n_words < 10"),
-    Rule("repeated_words", lambda t, w: 100 * n_repeat_words(w) > 20 * n_words(w), "100 * n_repeat_words > 20 * n_words"),
+    Rule("too_short", lambda m: m.n_words < 10, "n_words < 10"),
+    Rule("repeated_words", lambda m: 100 * m.n_repeat_words > 20 * m.n_words, "100 * n_repeat_words > 20 * n_words"),
 )
 #: Rules that only the cascade has.
 OWN_RULES = (
-    Rule("symbols", lambda t, w: 10 * n_symbols(t) > n_words(w), "10 * n_symbols > n_words"),
-    Rule("word_length", lambda t, w: bind(word_chars(t), lambda c: (c < 2 * n_words(w)) | (c > 15 * n_words(w))), "(word_chars < 2 * n_words or word_chars > 15 * n_words)"),
-    Rule("duplicate_lines", lambda t, w: bind(lines_of(t), lambda x: 2 * (F.size(x) - F.size(F.array_distinct(x))) > F.size(x)), "2 * n_dup_lines > n_lines"),
-    Rule("few_letters", lambda t, w: 2 * n_letters(t) < word_chars(t), "2 * n_letters < word_chars"),
+    Rule("symbols", lambda m: 10 * m.n_symbols > m.n_words, "10 * n_symbols > n_words"),
+    Rule("word_length", lambda m: bind(m.word_chars, lambda c: (c < 2 * m.n_words) | (c > 15 * m.n_words)), "(word_chars < 2 * n_words or word_chars > 15 * n_words)"),
+    Rule("duplicate_lines", lambda m: bind(m.lines, lambda x: 2 * x["dup"] > x["n"]), "2 * n_dup_lines > n_lines"),
+    Rule("few_letters", lambda m: 2 * m.n_letters < m.word_chars, "2 * n_letters < word_chars"),
 )
 RULES = BASE_RULES + OWN_RULES
 
@@ -145,12 +161,12 @@ def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", s
     some = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).sample(False, min(1.0, sample_rows / rows), seed)
     sample = written(some.where(F.length("text") <= SAMPLE_CHARS).repartition(1), "rule-sample")
     t = F.col("text")
-    verdicts = [lambda t, w, r=r: F.coalesce(r.rejects(t, w), F.lit(True)) for r in rules]
-    bits = bind(words_of(t), lambda w: sum((v(t, w).cast("int") * (1 << k) for k, v in enumerate(verdicts)), F.lit(0)))
+    verdicts = [lambda m, r=r: F.coalesce(r.rejects(m), F.lit(True)) for r in rules]
+    bits = bind(words_of(t), lambda w: sum((v(Measures(t, w)).cast("int") * (1 << k) for k, v in enumerate(verdicts)), F.lit(0)))
     patterns = {r["p"]: r["n"] for r in sample.groupBy(bits.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}  # as many rows as sets of rules at most
 
-    def timed(verdict: Callable[[Column, Column], Column]) -> float:
-        job = sample.select(F.explode(F.array_repeat("text", COPIES)).alias("text")).agg(F.count_if(bind(words_of(t), lambda w: verdict(t, w))))
+    def timed(verdict: Callable[[Measures], Column]) -> float:
+        job = sample.select(F.explode(F.array_repeat("text", COPIES)).alias("text")).agg(F.count_if(bind(words_of(t), lambda w: verdict(Measures(t, w)))))
         took = []
         for _ in range(TIMES):
             began = time.perf_counter()
@@ -158,41 +174,48 @@ def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", s
             took.append(time.perf_counter() - began)
         return min(took) / COPIES
 
-    without = timed(lambda t, w: F.size(w) < 0)
+    without = timed(lambda m: m.n_words < 0)
     seconds = {r.name: max(timed(v) - without, 1e-4) for r, v in zip(rules, verdicts)}
     discard(sample)
     return by_worth(rules, seconds, patterns)
 
 
-def first_rejection(text: Column, words: Column, rules: tuple[Rule, ...]) -> Column:
+def first_rejection(measures: Measures, rules: tuple[Rule, ...]) -> Column:
     """The first rule, in the order given, that rejects the text; null if none does."""
     verdict = F.lit(None).cast("string")
     for rule in reversed(rules):
-        verdict = F.when(F.coalesce(rule.rejects(text, words), F.lit(True)), F.lit(rule.name)).otherwise(verdict)
+        verdict = F.when(F.coalesce(rule.rejects(measures), F.lit(True)), F.lit(rule.name)).otherwise(verdict)
     return verdict
 
 
 def rejection(text: Column, rules: tuple[Rule, ...]) -> Column:
     """The same of a text that may be null, its words split once."""
     text = F.coalesce(text, F.lit(""))
-    return bind(words_of(text), lambda w: first_rejection(text, w, rules))
+    return bind(words_of(text), lambda w: first_rejection(Measures(text, w), rules))
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = OWN_RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, the base's measures, base_failed, and kept: not base_failed and rejected by none of rules, which are looked at only then."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    """key, the base's measures, base_failed, and kept: not base_failed and rejected by none of rules.
+
+    The base's measures are counted for every text, as they are asked for; what the rules count
+    beside them, only for texts that come to that rule.
+    """
+    t = F.coalesce(F.col("_text"), F.lit(""))
 
     def verdict(words: Column) -> Column:
         n = n_words(words)
 
         def given(repeats: Column) -> Column:
+            measures = Measures(t, words, {"n_repeat_words": repeats, **{c: F.col(f"_{c}") for c in ("word_chars", "n_symbols", "lines")}})
             failed = (n < 10) | (100 * repeats > 20 * n)
-            return F.struct(n.alias("n_words"), repeats.alias("n_repeat_words"), failed.alias("base_failed"), F.when(failed, False).otherwise(first_rejection(t, words, rules).isNull()).alias("kept"))
+            return F.struct(n.alias("n_words"), repeats.alias("n_repeat_words"), failed.alias("base_failed"), F.when(failed, False).otherwise(first_rejection(measures, rules).isNull()).alias("kept"))
 
         return bind(n_repeat_words(words), given)
 
-    measured = docs.select(F.col(key).alias("_key"), bind(words_of(t), verdict).alias("v"), word_chars(t).alias("word_chars"), n_symbols(t).alias("n_symbols"), n_dup_lines(t).alias("n_dup_lines"))
-    return measured.select(F.col("_key").alias(key), "v.n_words", "word_chars", "n_symbols", "n_dup_lines", "v.n_repeat_words", "v.base_failed", "v.kept")
+    measured = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).select("_key", "_text", word_chars(t).alias("_word_chars"), n_symbols(t).alias("_n_symbols"), lines(t).alias("_lines"))
+    return measured.select("*", bind(words_of(t), verdict).alias("v")).select(
+        F.col("_key").alias(key), "v.n_words", F.col("_word_chars").alias("word_chars"), F.col("_n_symbols").alias("n_symbols"), F.col("_lines.dup").alias("n_dup_lines"), "v.n_repeat_words", "v.base_failed", "v.kept"
+    )
 
 
 def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
