@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that do not count as query or title tokens.
-STOPWORDS = ("a", "an", "and", "as", "at", "by", "for", "from", "in", "into", "is", "of", "on", "or", "the", "to", "with")
+STOPWORDS = ("a", "an", "and", "at", "by", "for", "from", "in", "into", "is", "of", "on", "or", "that", "the", "to", "with")
 
 
 def blank(c: Column) -> Column:
@@ -77,15 +77,41 @@ def window_text(parts: Column, i: Column, radius: int) -> Column:
     return F.array_join(F.slice(parts, low + 1, F.least(i + radius, F.size(parts) - 1) - low + 1), " ")
 
 
+#: Locators that name a line.
+LOCATOR_LINE = r"(?:line|figure-cue-line|sentence):([0-9]+)"
+
+
 def locator_line(locator: Column) -> Column:
     """The line number in a locator such as line:12 or sentence:3; null in others."""
-    return F.try_element_at(F.regexp_extract_all(blank(locator), F.lit("(?:figure-cue-line|sentence|line):([0-9]+)"), F.lit(1)), F.lit(1)).cast("int")
+    return F.try_element_at(F.regexp_extract_all(blank(locator), F.lit(LOCATOR_LINE), F.lit(1)), F.lit(1)).cast("int")
+
+
+def line_number(explicit: Column, locator: Column) -> Column:
+    """A line number as given, else that in the locator."""
+    return F.coalesce(explicit.cast("int"), locator_line(locator))
+
+
+#: Characters that stand for others, and how degrees Celsius come out of scans.
+LOOKALIKES = str.maketrans("−–—‑‒СсКкµ", "-----CcKkμ")
+SCANNED_CELSIUS = (r"/\s*c\s*\d+\s*c", r"\bo\s*c\b")
 
 
 def normalise_dashes(text: Column) -> Column:
-    """Dashes, micro signs and Cyrillic look-alikes to ASCII; degree signs split off by recognition to C."""
-    plain = F.translate(blank(text), "‐‑‒–—−µμСсАаОоЕе", "------uuCcAaOoEe")
-    return F.regexp_replace(F.regexp_replace(plain, r"(?i)/\s*c\s*0\s*c\b", " C"), r"(?i)(?<=\d)\s*o\s*c\b", " C")
+    """Dashes, micro signs and Cyrillic look-alikes replaced, degrees Celsius as C."""
+    out = F.translate(blank(text), "".join(map(chr, LOOKALIKES)), "".join(map(chr, LOOKALIKES.values())))
+    return reduce(lambda t, pattern: F.regexp_replace(t, f"(?i){pattern}", " c "), SCANNED_CELSIUS, out)
+
+
+def key_clean(text: Column) -> Column:
+    """Lower case, anything but letters and digits as one underscore; `unknown` if nothing is left."""
+    return F.coalesce(F.nullif(slug(text), F.lit("")), F.lit("unknown"))
+
+
+def json_list(text: Column) -> Column:
+    """The items of a JSON list of texts, trimmed and without blank ones; none for anything else (single quotes are no JSON)."""
+    items = F.from_json(blank(text), "array<string>", {"allowSingleQuotes": "false", "mode": "PERMISSIVE"})
+    listed = F.when(F.ltrim(blank(text)).startswith("["), items)
+    return F.filter(F.transform(F.coalesce(listed, F.array().cast("array<string>")), lambda x: F.trim(blank(x))), lambda x: x != "")
 
 
 def slug(text: Column) -> Column:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veinstone.functions.text import blank, overlap_ratio, phrase_overlap, tokens
+from veinstone.functions.text import blank, filled, overlap_ratio, phrase_overlap, tokens, word_in
 
 
 def discovery_score(title: Column, abstract: Column, query: list[str], keywords: list[str], entities: list[str], phrases: list[str], provider_weight: Column, url: Column, boost: Column, penalty: Column, gate: Column) -> Column:
@@ -23,6 +23,59 @@ def discovery_score(title: Column, abstract: Column, query: list[str], keywords:
     return F.bround(score, 6)
 
 
+#: Terms of the relevance gate.
+MATERIAL_TERMS = ["nickel", "ni"]
+PROCESS_TERMS = ["anneal", "annealing", "thermal", "temperature"]
+ANCHOR_TERMS = ["silicide", "ni2si", "nisi", "nisi2"]
+NEGATIVE_TERMS = ["diamond", "curie", "ferromagnetic", "ferromagnetism", "hfo2", "hafnia"]
+#: Words of a query or specification that turn the gate on.
+GATE_WORDS = ("nickel", "ni2si", "nisi2", "silicide")
+#: How far providers are trusted.
+PROVIDER_WEIGHTS = {"openalex": 0.9, "europepmc": 0.85, "crossref": 0.7, "arxiv": 0.65, "localfs": 0.72}
+
+
+def gate_enabled(*texts: str) -> bool:
+    """Whether the query or the specification's words call for the relevance gate."""
+    whole = " ".join(texts).lower()
+    return any(w in whole for w in GATE_WORDS)
+
+
+def relevance_gate(title: Column, abstract: Column, anchor: list[str] = ANCHOR_TERMS, material: list[str] = MATERIAL_TERMS, process: list[str] = PROCESS_TERMS, enabled: bool = True) -> Column:
+    """struct(ok, reasons): an anchor term and a term of material or process must stand in title or abstract."""
+    if not enabled:
+        return F.struct(F.lit(True).alias("ok"), F.lit("").alias("reasons"))
+    whole = F.concat_ws(" ", blank(title), blank(abstract))
+    has_anchor, has_other = word_in(whole, anchor), word_in(whole, material) | word_in(whole, process)
+    why = F.concat_ws(",", F.when(~has_anchor, "missing_silicide_term"), F.when(~has_other, "missing_material_or_process_term"))
+    return F.struct((has_anchor & has_other).alias("ok"), why.alias("reasons"))
+
+
+def negative_penalty(title: Column, abstract: Column, negative: list[str] = NEGATIVE_TERMS, anchor: list[str] = ANCHOR_TERMS, process: list[str] = PROCESS_TERMS) -> Column:
+    """0.18 for a negative term in a text without both an anchor and a process term."""
+    whole = F.concat_ws(" ", blank(title), blank(abstract))
+    return F.when(word_in(whole, negative) & ~(word_in(whole, anchor) & word_in(whole, process)), 0.18).otherwise(0.0)
+
+
+def provider_weight(provider: Column) -> Column:
+    pairs = [F.lit(x) for kv in PROVIDER_WEIGHTS.items() for x in kv]
+    return F.coalesce(F.create_map(*pairs)[F.lower(blank(provider))], F.lit(0.55))
+
+
+def eligible(is_oa: Column, article_type: Column, language: Column, oa_required: bool = True, types: tuple[str, ...] = ("journal-article", "preprint"), languages: tuple[str, ...] = ("en",), english_first: bool = False) -> Column:
+    """Open access if required, an allowed type or none, and an allowed language unless English only goes first."""
+    kind = F.lower(F.trim(blank(article_type)))
+    fine = (F.coalesce(is_oa, F.lit(False)) if oa_required else F.lit(True)) & ((kind == "") | kind.isin(*types))
+    return fine if english_first or not languages else fine & F.lower(F.trim(blank(language))).isin(*languages)
+
+
+def dedupe_quality(rows: DataFrame) -> Column:
+    """What makes one record of an article better than another: readable here, fields that are filled, an open URL, the provider, the year."""
+    c = F.col
+    fields = sum((filled(c(x)).cast("int") for x in ("title", "abstract", "venue", "doi", "oa_url", "language", "license")), F.lit(0))
+    readable = c("local_readable") if "local_readable" in rows.columns else F.lit(False)
+    return F.struct(((c("provider") == "localfs") & readable).alias("a"), fields.alias("b"), filled(c("oa_url")).alias("c"), (c("provider") == "openalex").alias("d"), F.coalesce("year", F.lit(0)).alias("e"))
+
+
 def selection_label(score: Column, minimum: float, gate: Column) -> Column:
     """keep, or why not; the relevance gate overrides the score."""
     return F.when(~gate, "drop:relevance_gate").when(score < minimum, "drop:min_discovery_score").otherwise("keep")
@@ -40,23 +93,15 @@ def dedupe_best(rows: DataFrame, key: Column, quality: Column, order: str) -> Da
     return best.groupBy("_key").agg(F.max_by(F.struct(*rows.columns), F.struct("_quality", (-F.col(order)).alias("o"))).alias("r")).select("r.*")
 
 
-def dedupe_years(rows: DataFrame, key: str, year: str, order: str) -> DataFrame:
-    """rows with cluster: within a key and in order of appearance, a row joins the first cluster whose anchor year is at most one away, or whose anchor or own year is null."""
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(order)
-        anchors: list = []
-        labels = []
-        for y in part[year]:
-            hit = next((i for i, a in enumerate(anchors) if pd.isna(a) or pd.isna(y) or abs(a - y) <= 1), None)
-            if hit is None:
-                anchors.append(y)
-                hit = len(anchors) - 1
-            labels.append(hit)
-        return part.assign(cluster=labels)
+def dedupe_years(rows: DataFrame, key: str, year: str) -> DataFrame:
+    """rows with cluster: within a key and by year, a row joins the cluster whose first year is at most one before its own, else begins one; a row without a year makes one cluster of its whole key.
 
-    return rows.groupBy(key).applyInPandas(run, f"{fields}, cluster int")
+    Clusters depend on a key's distinct years alone, which are few whatever the key's rows.
+    """
+    begun = F.aggregate("_ys", F.array().cast("array<int>"), lambda a, y: F.when((F.size(a) == 0) | (y - F.coalesce(F.try_element_at(a, F.lit(-1)), y) > 1), F.concat(a, F.array(y))).otherwise(a))
+    per = rows.groupBy(F.col(key).alias("_key")).agg(F.array_sort(F.collect_set(F.col(year).cast("int"))).alias("_ys"), F.max(F.col(year).isNull()).alias("_open")).select("_key", "_open", begun.alias("_begun"))
+    joined = rows.join(per, F.col(key).eqNullSafe(F.col("_key")))
+    return joined.withColumn("cluster", F.when(F.col("_open"), 0).otherwise(F.size(F.filter("_begun", lambda a: a <= F.col(year))) - 1)).drop("_key", "_open", "_begun")
 
 
 def saturation(pages: DataFrame, by: str, order: str, value: str, window: int, minimum: float, least: int) -> DataFrame:
@@ -70,17 +115,30 @@ def saturation(pages: DataFrame, by: str, order: str, value: str, window: int, m
 def document_quality(status: Column, mime: Column, text: Column, least: int) -> Column:
     """usable, or the first reason against it."""
     return (
-        F.when(status.isin("fetch_failed", "skipped"), status)
-        .when(F.lower(blank(mime)).contains("json"), "metadata_only")
+        F.when(status.isin("fetch_failed", "skipped_non_english"), status)
+        .when(F.lower(blank(mime)).contains("json"), "json_not_fulltext")
         .when(~status.isin("parsed_html", "parsed_text", "parsed_xml", "parsed_pdf"), "unsupported_parse_status")
-        .when(F.length(F.trim(blank(text))) < least, F.format_string("short_text<%d", F.lit(least)))
+        .when(F.length(F.trim(blank(text))) < max(1, least), F.format_string("short_text<%d", F.lit(least)))
         .otherwise("usable")
     )
 
 
-def url_candidates(*urls: Column) -> Column:
-    """The distinct fetchable URLs in order of preference."""
-    return F.array_distinct(F.filter(F.transform(F.array(*urls), lambda u: F.trim(blank(u))), lambda u: u.rlike("^(https?://|file:|/)") & ~u.rlike("api\\.(openalex|crossref)\\.org|/rest/search")))
+#: Where providers' records hold URLs of full texts.
+RECORD_URLS = "struct<best_oa_location: struct<pdf_url: string, landing_page_url: string>, open_access: struct<oa_url: string>, locations: array<struct<pdf_url: string, landing_page_url: string>>, link: array<struct<URL: string>>, fullTextUrlList: struct<fullTextUrl: array<struct<url: string>>>>"
+
+
+def provider_urls(provider: Column, raw_json: Column) -> Column:
+    """The URLs in a provider's record, in its order; none of providers without any."""
+    r, none = F.from_json(blank(raw_json), RECORD_URLS), F.array().cast("array<string>")
+    places = F.flatten(F.transform(F.coalesce(r["locations"], F.array().cast("array<struct<pdf_url: string, landing_page_url: string>>")), lambda x: F.array(x["pdf_url"], x["landing_page_url"])))
+    openalex = F.concat(F.array(r["best_oa_location"]["pdf_url"], r["best_oa_location"]["landing_page_url"], r["open_access"]["oa_url"]), places)
+    return F.coalesce(F.when(provider == "openalex", openalex).when(provider == "crossref", F.transform(r["link"], lambda x: x["URL"])).when(provider == "europepmc", F.transform(r["fullTextUrlList"]["fullTextUrl"], lambda x: x["url"])), none)
+
+
+def url_candidates(first: Column, *rest: Column, listed: Column | None = None) -> Column:
+    """The distinct fetchable URLs in order of preference: the first, those listed in the record, the rest. Metadata APIs are not fetched."""
+    every = F.concat(F.array(first), F.array().cast("array<string>") if listed is None else listed, F.array(*rest).cast("array<string>"))
+    return F.array_distinct(F.filter(F.transform(every, lambda u: F.trim(blank(u))), lambda u: u.rlike("^(https?://|file:|/)") & ~F.lower(u).contains("api.openalex.org/works")))
 
 
 def chunk_sentences(docs: DataFrame, key: str, sentences: str, size: int, overlap: int) -> DataFrame:
