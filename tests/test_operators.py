@@ -21,11 +21,11 @@ def one(spark, column):
 
 
 def found(engine, t):
-    return [(f.variable, f.value, f.entity) for f in extraction.ENGINES[engine](t, SPEC)]
+    return [(f.variable, f.value, f.entity) for f in extraction.ENGINES[engine](t, extraction.Reader(SPEC))]
 
 
 def test_entities_and_ranges():
-    assert [extraction.entity_of(t, SPEC) for t in ("The NiSi2 phase", "The NiSi 2 phase", "The Ni 2 Si phase", "none")] == ["NiSi2", "NiSi2", "Ni2Si", "unknown"]
+    assert [extraction.Reader(SPEC).entity(t) for t in ("The NiSi2 phase", "The NiSi 2 phase", "The Ni 2 Si phase", "none")] == ["NiSi2", "NiSi2", "Ni2Si", ""]
     events = found("transition", "For 20-30 nm Ni films, Ni2Si appears at 250-270 C, NiSi appears at 330-350 C, and NiSi2 appears near 510-530 C.")
     assert [(e, v) for n, v, e in events if n == "temperature_c"] == [("Ni2Si", 260), ("NiSi", 340), ("NiSi2", 520)]
     assert {v for n, v, _ in events if n == "thickness_nm"} == {25}
@@ -46,7 +46,7 @@ def test_specification_is_checked():
     with pytest.raises(ValueError):
         extraction.Spec(())
     with pytest.raises(ValueError):
-        extraction.Spec((extraction.Variable("x", (), (), 2, 1),))
+        extraction.Spec((extraction.Variable("x", (), "", 2, 1),))
 
 
 def test_extract_handles_nulls(spark):
@@ -66,7 +66,10 @@ def test_text_expressions(spark):
     assert one(spark, text.locator_line(F.lit("figure-cue-line:12"))) == 12 and one(spark, text.locator_line(F.lit("table"))) is None
     assert one(spark, text.overlap_ratio(F.array().cast("array<string>"), F.array(F.lit("a")))) == 0
     assert one(spark, text.slug(F.lit(" A b--C "))) == "a_b_c"
-    assert one(spark, text.normalise_dashes(F.lit("350 o C – µm"))) == "350 C - um"
+    assert one(spark, text.normalise_dashes(F.lit("350 o C – µm / c 0 c"))) == extraction.plain("350 o C – µm / c 0 c") == "350  c  - μm  c "
+    assert one(spark, text.tokens(F.lit("that as of it"))) == ["as", "it"]
+    assert one(spark, text.key_clean(F.lit("(111)"))) == "111" and one(spark, text.key_clean(F.lit("--"))) == "unknown"
+    assert one(spark, text.json_list(F.lit('["Pt", " ", "Au"]'))) == ["Pt", "Au"] and one(spark, text.json_list(F.lit("['Pt']"))) == [] == one(spark, text.json_list(F.lit(None).cast("string")))
 
 
 def test_science_expressions(spark):
@@ -75,9 +78,40 @@ def test_science_expressions(spark):
     assert one(spark, science.formula_match(F.lit("NiSi"), F.lit("NiSi"))) == 1 and one(spark, science.formula_match(F.lit("NiSi"), F.lit("SiNi2"))) == 0.85
     assert [(x["element"], x["ratio"]) for x in one(spark, science.stoichiometry(F.lit("Ni2Si")))] == [("Ni", 2.0), ("Si", 1.0)]
     assert one(spark, science.is_formula(F.lit("Ni2Si"))) and not one(spark, science.is_formula(F.lit("Ni2Si film")))
-    assert one(spark, science.seconds_in(F.lit("annealed for 2 min"))) == 120 and one(spark, science.pascals_in(F.lit("at 1e-3 mbar"))) == pytest.approx(0.1)
+    assert one(spark, science.seconds_in(F.lit("annealed for 2 min"))) == 120 and one(spark, science.pascals_in(F.lit("at 2 mbar"))) == pytest.approx(200)
     assert one(spark, science.doping_state(F.lit("without doping"))) == "undoped" and one(spark, science.orientation(F.lit("Si<111>"))) == "(111)"
-    assert one(spark, science.ladder(F.lit(0.0), *science.HULL, zero_is_missing=True)) == "unknown"
+    # the regimes' cut points, as the survey's formula cards have them
+    cases = {
+        "TEMPERATURE": {0.0: "unknown_temperature_regime", 199.9: "temp_regime_low", 200.0: "temp_regime_mid", 450.0: "temp_regime_high", 750.0: "temp_regime_extreme"},
+        "TIME": {-1.0: "unknown_time_regime", 29.0: "time_regime_short", 30.0: "time_regime_medium", 600.0: "time_regime_long", 3600.0: "time_regime_very_long"},
+        "PRESSURE": {0.0: "unknown_pressure_regime", 99.0: "pressure_regime_high_vacuum", 100.0: "pressure_regime_low_pressure", 1e4: "pressure_regime_mid_pressure", 5e4: "pressure_regime_atm_like"},
+        "STABILITY": {0.0: "stability_unknown", 0.05: "stability_stable", 0.10: "stability_metastable", 0.11: "stability_unstable"},
+        "HULL": {0.0: "energy_hull_unknown", 0.05: "energy_hull_0_0p05", 0.10: "energy_hull_0p05_0p10", 0.30: "energy_hull_0p10_0p30", 0.31: "energy_hull_gt_0p30"},
+    }
+    flat = [(n, v, want) for n, c in cases.items() for v, want in c.items()]
+    got = spark.range(1).select(*[science.bucket(F.lit(v), getattr(science, n)).alias(f"c{i}") for i, (n, v, _) in enumerate(flat)]).first()
+    assert list(got) == [want for *_, want in flat]
+    assert one(spark, F.array(*[science.bandgap_bucket(F.lit(v)) for v in (-1.0, 0.0, 0.5, 1.0, 3.0)])) == ["bandgap_unknown", "bandgap_metallic", "bandgap_narrow", "bandgap_mid", "bandgap_wide"]
+    urls = {"https://h/x.pdf": 1.0, "https://h/x.pdf.html": 0.8, "https://h/get?format=xml": 0.9, "https://h/x.xml": 0.9, "https://h/x.txt": 0.8, "https://doi.org/10.1/x": 0.55, "https://h/x.htm": 0.65, " ": 0.0}
+    assert one(spark, F.array(*[science.url_quality(F.lit(u)) for u in urls])) == list(urls.values())
+    units = {"°C": "c", "o C": "c", "degC": "c", "Kelvin": "k", "μm": "um", "micrometer": "um", " nano meters": "nm", "micron": "micron"}
+    assert one(spark, F.array(*[science.canonical_unit(F.lit(u)) for u in units])) == list(units.values()) == [science.plain_unit(u) for u in units]
+    assert one(spark, science.normalise_value(F.lit(2.0), F.lit(""), "nm")).asDict() == {"value": 2.0, "unit": "nm"} and science.plain_change(2.0, "μm", "nm") == (2000.0, "nm")
+    assert one(spark, science.strain_in(F.lit("a strain of -1.5 %"))) == -1.5 and one(spark, science.strain_in(F.lit("a 5 % change"))) is None
+    assert one(spark, science.vacancies_in(F.lit("vacancies of 3 cm^-3"))) == 3 and one(spark, science.first_composition(F.lit("[]"), F.lit('[{"value": 2.5}]'))) == 2.5
+    assert one(spark, science.reduced_formula(F.lit("Ni 2-Si"))) == "Ni2Si" and one(spark, science.reduced_formula(F.lit("Ni2Si film"))) == ""
+    assert one(spark, science.crystal_system(F.lit(62))) == "orthorhombic" and one(spark, science.spacegroup_tokens(F.lit("Fm-3m"))) == ["fm-3m", "fm", "3m", "3"]
+
+
+def test_gate_and_quality_codes(spark):
+    gate = lambda t, a: tuple(one(spark, discovery.relevance_gate(F.lit(t), F.lit(a))))
+    assert gate("Nickel silicide films", "annealing") == (True, "") and gate("NiSi2", "by thermal means") == (True, "")
+    assert gate("Silicide of cobalt", "") == (False, "missing_material_or_process_term") and gate("Ferromagnetic oxides", "") == (False, "missing_silicide_term,missing_material_or_process_term")
+    assert one(spark, discovery.negative_penalty(F.lit("HfO2 layers"), F.lit("annealing"))) == 0.18 and one(spark, discovery.negative_penalty(F.lit("HfO2 on NiSi"), F.lit("annealing"))) == 0.0
+    quality = lambda s, m, t: one(spark, discovery.document_quality(F.lit(s), F.lit(m), F.lit(t), 100))
+    assert [quality("parsed_html", "text/html", "x" * 200), quality("stored_binary", "application/pdf", ""), quality("skipped_non_english", "", ""), quality("parsed_text", "application/json", "x" * 200), quality("parsed_xml", "", "x")] == ["usable", "unsupported_parse_status", "skipped_non_english", "json_not_fulltext", "short_text<100"]
+    assert discovery.gate_enabled("phases of NICKEL") and not discovery.gate_enabled("steel")
+    assert one(spark, discovery.provider_weight(F.lit("localfs"))) == 0.72 and one(spark, discovery.provider_weight(F.lit("other"))) == 0.55
 
 
 # --- evidence ----------------------------------------------------------------------------------
@@ -112,7 +146,10 @@ def test_saturation_cases(spark):
 
 def test_year_clusters(spark):
     rows = spark.createDataFrame([(0, "k", 2000), (1, "k", 2001), (2, "k", 2002), (3, "k", None), (4, "j", None)], "o int, k string, y int")
-    assert {r["o"]: r["cluster"] for r in discovery.dedupe_years(rows, "k", "y", "o").collect()} == {0: 0, 1: 0, 2: 1, 3: 0, 4: 0}
+    assert {r["o"]: r["cluster"] for r in discovery.dedupe_years(rows, "k", "y").collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0}  # a row without a year takes all of its title
+    years = [2005, 2000, 2001, 2002, 2010, 2003, 2011]
+    rows = spark.createDataFrame([(i, "k", y) for i, y in enumerate(years)], "o int, k string, y int")
+    assert {r["y"]: r["cluster"] for r in discovery.dedupe_years(rows, "k", "y").collect()} == {2000: 0, 2001: 0, 2002: 1, 2003: 1, 2005: 2, 2010: 3, 2011: 3}
 
 
 def test_chunks_overlap(spark):
@@ -130,10 +167,32 @@ def test_greedy_match_against_loop(spark):
         if hit is not None:
             used.add(hit)
             want.append((k, hit))
-    got = joins.greedy_match(spark.createDataFrame(preds, "k string, e string, x double, y double"), spark.createDataFrame(golds, "gold_id long, e string, x double, y double"), "e", "x", "y", 1.0, 1.0, "k", "string")
+    got = joins.greedy_match(spark.createDataFrame(preds, "k string, e string, x double, y double"), spark.createDataFrame(golds, "gold_id long, e string, x double, y double"), "e", "x", "y", 1.0, 1.0, "k")
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_nearest_against_loop(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(f"k{i}", r.uniform(-50, 50), r.uniform(-9, 400)) for i in range(60)] + [("far", 9e5, -9e5)]
+    golds = [(i, r.uniform(-50, 50), r.uniform(-9, 40)) for i in range(25)] + [(25, 3.0, 3.0), (26, 3.0, 3.0)]
+    p, g = spark.createDataFrame(rows, "k string, x double, y double"), spark.createDataFrame(golds, "gold_id long, x double, y double")
+    want = {k: min((round(abs(x - gx) + abs(y - gy), 9), i) for i, gx, gy in golds)[1] for k, x, y in rows}
+    assert {r["k"]: r["gold_id"] for r in joins.nearest(p, g, "x", "y", "k", 4.0).collect()} == want
+    assert joins.nearest(p, g.limit(0), "x", "y", "k", 4.0).count() == 0
+
+
+def test_medians_are_exact(spark):
+    import random
+    from statistics import median
+
+    r = random.Random(1)
+    rows = [("a", r.choice([1.0, 2.0, 5.5])) for _ in range(500)] + [("b", r.random()) for _ in range(301)] + [("c", 7.0), ("d", None)] + [("e", 1.0), ("e", 2.0)]
+    got = {x["g"]: x["median"] for x in consensus.medians(spark.createDataFrame(rows, "g string, v double"), "v", ["g"]).collect()}
+    assert all(got[g] == median([v for k, v in rows if k == g]) for g in "abce") and got.get("d") is None
+
+
 def test_graph_pairs_skip_nulls(spark):
     rows = spark.createDataFrame([("e", "x", None, "y")], "k string, a string, b string, c string")
     assert [tuple(r) for r in graphs.cooccurrence(rows, "k", {c: F.col(c) for c in "abc"}).collect()] == [("a:x", "c:y", 1)]
@@ -206,6 +265,7 @@ def test_files_and_registry(spark, tmp_path):
     reg.save(rows, "r", "points", ["documents"])
     assert reg.artifacts().count() == 1 and reg.lineage().count() == 1
     files.citations(rows, str(tmp_path / "c"))
+    assert len(files.CITATION) == 19
     back = files.table(spark, str(tmp_path / "run/artifacts/points.parquet"))
     assert back.count() == 1 and spark.read.csv(str(tmp_path / "c"), header=True).columns == list(files.CITATION)
     with pytest.raises(ValueError):

@@ -13,7 +13,7 @@ from veinstone.plans import registry
 
 SF = "/root/testdata/sf0.001"
 #: Queries whose filters leave no rows of tables this small; their SQL must agree all the same.
-NONE_HERE = {"anti_filter", "nearest_gold"}
+NONE_HERE = {"anti_filter"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veinstone.functions.science import clamp
@@ -41,13 +41,36 @@ def points(rows: DataFrame, min_support: int = 1, low_n_penalty: float = 0.15) -
     return joined.withColumn("model_confidence", clamp(base * (0.90 + 0.20 * F.col("mp_score")))).withColumn("display_alpha", F.when(F.col("mp_conflict") & ~F.col("is_outlier"), F.least(alpha, F.lit(0.20))).otherwise(alpha))
 
 
+#: Rank error of the bounds between which a median is looked for exactly.
+ACCURACY = 20_000
+
+
+def medians(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """keys, n and the exact median of value per group, none of whose values are ever held together.
+
+    Approximate quantiles bound the median by a few parts in ACCURACY of the group; the values
+    between them are counted by value, and those counts alone are put in order.
+    """
+    slack = 2.0 / ACCURACY
+    bounds = rows.groupBy(*keys).agg(F.percentile_approx(value, F.array(F.lit(0.5 - slack), F.lit(0.5 + slack)), F.lit(ACCURACY)).alias("_b"), F.count(value).alias("_n"))
+    named = bounds.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_n")
+    near = rows.select(*keys, F.col(value).alias("_v")).join(named, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    place = F.when(F.col("_v") < F.col("_lo"), F.lit(None)).otherwise(F.col("_v"))
+    counts = near.where("_v <= _hi").groupBy(*[f"_k{i}" for i in range(len(keys))], "_n", place.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy(F.asc_nulls_first("_v"))
+    upto = counts.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    at = lambda rank: F.min(F.when(F.col("_v").isNotNull() & (F.col("_end") > rank), F.col("_v")))
+    out = upto.groupBy(*[f"_k{i}" for i in range(len(keys))], "_n").agg(((at(F.floor((F.col("_n") - 1) / 2)) + at(F.ceil((F.col("_n") - 1) / 2))) / 2).alias("median"))
+    return out.select(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], F.col("_n").alias("n"), "median")
+
+
 def mad_outliers(rows: DataFrame, y: str, by: list[str], threshold: float = 3.5, least: int = 5) -> DataFrame:
     """rows with is_outlier: robust z-score 0.6745·|y - median| / MAD above threshold, in groups of at least `least` rows."""
-    keys = [F.col(c).alias(f"_{c}") for c in by]
+    keyed = lambda t, name, *more: t.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("median").alias(name), *more)
     same = lambda t: [F.col(c) == t[f"_{c}"] for c in by]
-    medians = rows.groupBy(*keys).agg(F.median(y).alias("_median"), F.count(y).alias("_n"))
-    near = rows.join(medians, same(medians)).drop(*[f"_{c}" for c in by])
-    mads = near.groupBy(*keys).agg(F.median(F.abs(F.col(y) - F.col("_median"))).alias("_mad"))
+    middle = keyed(medians(rows, y, by), "_median", F.col("n").alias("_n"))
+    near = rows.join(middle, same(middle)).drop(*[f"_{c}" for c in by])
+    mads = keyed(medians(near.select(*by, F.abs(F.col(y) - F.col("_median")).alias("_off")), "_off", by), "_mad")
     z = 0.6745 * F.abs(F.col(y) - F.col("_median")) / F.col("_mad")
     return near.join(mads, same(mads)).withColumn("is_outlier", (F.col("_n") >= least) & (F.col("_mad") > 0) & (z > threshold)).drop("_median", "_n", "_mad", *[f"_{c}" for c in by])
 
@@ -62,7 +85,5 @@ def summary(rows: DataFrame) -> DataFrame:
 
 def curve(rows: DataFrame, x: str, confidence: str, tie: list[Column]) -> DataFrame:
     """The most confident row of each x."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(x).orderBy(F.desc(confidence), *tie)
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

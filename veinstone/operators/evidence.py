@@ -24,9 +24,11 @@ def pivot(rows: DataFrame, variables: list[str], order: str, last: bool = False,
 
 
 def with_provenance(rows: DataFrame, provenance: DataFrame, key: str = "point_id") -> DataFrame:
-    """rows left-joined with one provenance row per key; clashing columns get the suffix _prov."""
+    """rows left-joined with one provenance row per key, the least of several; clashing columns get the suffix _prov."""
     clash = {c: f"{c}_prov" for c in provenance.columns if c in rows.columns and c != key}
-    return rows.join(provenance.dropDuplicates([key]).withColumnsRenamed(clash), key, "left")
+    rest = [c for c in provenance.columns if c != key]
+    one = provenance.groupBy(key).agg(F.min(F.struct(*rest)).alias("_p")).select(key, *[F.col(f"_p.{c}").alias(c) for c in rest])
+    return rows.join(one.withColumnsRenamed(clash), key, "left")
 
 
 def reasons(checks: list[tuple[str, Column]]) -> Column:
@@ -57,9 +59,16 @@ def calibration(points: DataFrame, predicted: str, correct: str, n_bins: int) ->
     return every.withColumn("ece_part", F.when(F.col("n") > 0, F.abs(F.col("accuracy") - F.col("mean_predicted")) * F.col("n") / total).otherwise(0.0))
 
 
+#: Models that may vote on each point.
+MOST_MODELS = 1000
+
+
 def model_votes(points: DataFrame, models: DataFrame, policy: str = "balanced") -> DataFrame:
     """Each point judged by each model: confidence with a jitter hashed from model, point and policy."""
-    crossed = points.join(F.broadcast(models))  # models: a handful of names, checked by the caller
+    names = models.limit(MOST_MODELS + 1).collect()
+    if len(names) > MOST_MODELS:
+        raise ValueError(f"more than {MOST_MODELS} models would vote on every point")
+    crossed = points.join(F.broadcast(points.sparkSession.createDataFrame(names, models.schema)))
     conf = clamp(F.col("confidence") + (jitter(F.col("model_id"), F.col("point_id").cast("string"), F.lit(policy)) * 0.18 - 0.09) + F.when(F.col("rule_valid"), 0.05).otherwise(-0.12), 0.01, 0.99)
     return crossed.withColumn("model_confidence", conf)
 

@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veinstone.functions.text import blank
+from veinstone.functions import science
+from veinstone.functions.text import blank, json_list, key_clean
+from veinstone.operators.context import ontology, ontology_links
+from veinstone.operators.validation import text_of
 
 
 def node_id(kind: str, *parts: Column) -> Column:
@@ -19,10 +22,12 @@ def edge_id(prefix: str, *parts: Column) -> Column:
 
 
 def nodes(rows: DataFrame, kinds: dict[str, Column], order: str) -> DataFrame:
-    """(node_id, node_type, label): one explode per row, then one row per id, the first by order."""
-    made = F.array(*[F.struct(node_id(k, c).alias("node_id"), F.lit(k).alias("node_type"), blank(c.cast("string")).alias("label")) for k, c in kinds.items()])
-    every = rows.select(F.col(order), F.explode(made).alias("n")).select(order, "n.*").where("label <> ''")
-    return every.groupBy("node_id").agg(F.first("node_type").alias("node_type"), F.min_by("label", F.struct(order, "label")).alias("label"), F.count(F.lit(1)).alias("n_mentions"))
+    """(node_id, node_type, label, n_mentions): values are counted per kind as they come, ids are made of the few that are left; the label is the first by order."""
+    made = F.array(*[F.struct(F.lit(k).alias("node_type"), blank(c.cast("string")).alias("label")) for k, c in kinds.items()])
+    every = rows.select(F.col(order).alias("_o"), F.explode(made).alias("n")).select("_o", "n.*").where("label <> ''")
+    raw = every.groupBy("node_type", "label").agg(F.min("_o").alias("_o"), F.count(F.lit(1)).alias("n"))
+    named = raw.withColumn("node_id", F.concat("node_type", F.lit(":"), F.lower(F.trim("label"))))
+    return named.groupBy("node_id").agg(F.min("node_type").alias("node_type"), F.min_by("label", F.struct("_o", "label")).alias("label"), F.sum("n").alias("n_mentions"))
 
 
 def edges(rows: DataFrame, kinds: dict[str, tuple[str, Column, str, Column]]) -> DataFrame:
@@ -86,3 +91,213 @@ def frequency_features(rows: DataFrame, weights: dict[str, float]) -> DataFrame:
     top = rows.agg(F.count(F.lit(1)).alias("_n"))
     mix = reduce(lambda a, b: a + b, [w * F.col(f"{c}_degree") / F.col("_n") for c, w in weights.items()])
     return out.join(F.broadcast(top)).withColumn("support", mix).drop("_n")  # top: one row
+
+
+# --- articles' process graph, concepts and bridges between them ----------------------------------
+
+#: Gates of bridges, their proximity, and the weight's threshold.
+GATES = {"film": 0.95, "substrate": 0.85, "dopant": 0.85, "method": 0.85, "precursor": 0.75, "thermo": 0.75, "electronic": 0.75}
+OTHER_PROXIMITY, THRESHOLD = 0.70, 0.15
+#: Agreement of concepts that have no count of sources, and of those that are never counted.
+NO_COUNT = 0.3
+UNCOUNTED = {"orientation_family": 0.4, "method_family": 0.4, "precursor_chemistry": 0.35, "temperature_regime": 0.35, "stability_band": 0.30, "metallicity_class": 0.30}
+#: How well a point agrees with its references, by their label.
+ALIGNMENT = {"supports": 1.0, "neutral": 0.6, "conflicts": 0.2, "insufficient": 0.4}
+
+
+def gate_set(names: list[str] | None) -> set[str]:
+    """Gates by name, with or without _gate; all if none of the names is one."""
+    return {n.strip().lower().replace("_gate", "") for n in names or []} & set(GATES) or set(GATES)
+
+
+def number_of(rows: DataFrame, *names: str, default: float = 0.0) -> Column:
+    """The first of the columns that exist and hold a finite number."""
+    own = [F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x) for n in names if n in rows.columns for x in [F.col(n).try_cast("double")]]
+    return F.coalesce(*own, F.lit(default))
+
+
+def prepared(points: DataFrame) -> DataFrame:
+    """points as the graphs read them: absent and blank columns by their defaults, formula and signatures made."""
+    t = lambda other, *names: F.coalesce(F.nullif(text_of(points, *names), F.lit("")), F.lit(other))
+    signature = lambda kind, other: F.coalesce(F.nullif(F.array_join(F.array_sort(json_list(F.col(f"{kind}_elements"))), "+"), F.lit("")) if f"{kind}_elements" in points.columns else F.lit(None).cast("string"), F.nullif(text_of(points, f"{kind}_state"), F.lit("")), F.lit(other))
+    lists = lambda kind: json_list(F.col(f"{kind}_elements")) if f"{kind}_elements" in points.columns else F.array().cast("array<string>")
+    hull, confidence = number_of(points, "mp_energy_above_hull_min", default=-1.0), number_of(points, "confidence", default=0.9)
+    return points.select(
+        t("unknown_article", "article_key").alias("article_key"), text_of(points, "point_id").alias("point_id"), t("unknown_phase", "phase_label", "entity").alias("phase"), t("unknown_phase", "film_material", "phase_label", "entity").alias("film"),
+        science.reduced_formula(text_of(points, "film_material", "phase_label", "entity")).alias("formula"), t("unknown_substrate", "substrate_material").alias("substrate"), t("unknown_orientation", "substrate_orientation").alias("orientation"),
+        t("unknown_method", "method_family").alias("method"), t("unknown_precursor", "precursor").alias("precursor"), t("unknown_ambient", "ambient").alias("ambient"), signature("doping", "undoped").alias("dopant_signature"), signature("alloy", "unalloyed").alias("alloy_signature"),
+        lists("doping").alias("dopants"), lists("alloy").alias("alloys"), confidence.alias("confidence"), F.concat_ws("|", text_of(points, "citation_url"), text_of(points, "locator")).alias("provenance_ref"),
+        *[number_of(points, c).alias(c) for c in ("thickness_nm", "pressure_pa", "composition_value", "vacancy_concentration_cm3", "deposition_temperature_c", "deposition_rate_nm_s", "anneal_time_s", "anneal_rate_c_s", "film_quality_score_numeric")],
+        number_of(points, "anneal_temperature_c", "temperature_c").alias("anneal_temperature_c"), number_of(points, "anneal_temperature_c").alias("regime_temperature_c"), hull.alias("hull"), number_of(points, "band_gap", default=-1.0).alias("band_gap"),
+        text_of(points, "is_metal").alias("is_metal"), text_of(points, "magnetic_ordering").alias("magnetic"), science.spacegroup_symbol(text_of(points, "spacegroup_symbol", "mp_spacegroup_symbol")).alias("sg_symbol"), science.spacegroup_number(text_of(points, "spacegroup_number", "mp_spacegroup_number")).alias("sg_number"),
+        text_of(points, "interface_quality_label").alias("interface"), text_of(points, "prototype_family").alias("prototype"), F.lower(text_of(points, "mp_interpretation_label")).alias("mp_label"),
+        (sum(((text_of(points, c) != "").cast("int") for c in ("citation_url", "snippet", "locator")), F.lit(0)) / 3.0).alias("provenance_quality"),
+    )
+
+
+def json_numbers(fields: dict[str, Column]) -> Column:
+    """A JSON object of numbers, and texts, by sorted name."""
+    parts = [x for k, c in sorted(fields.items()) for x in (F.lit(f'"{k}": '), c, F.lit(", "))][:-1]
+    return F.concat(F.lit("{"), *parts, F.lit("}"))
+
+
+def _own_id(kind: str) -> Column:
+    return F.concat(F.lit(f"{kind}:"), F.col("article_key"), F.lit(":"), F.col("point_id"))
+
+
+def _conditions() -> dict[str, Column]:
+    text = lambda c: F.col(c).cast("string")
+    deposition = {"deposition_thickness_nm": text("thickness_nm"), "deposition_pressure_pa": text("pressure_pa"), "deposition_composition_value": text("composition_value"), "deposition_vacancy_concentration_cm3": text("vacancy_concentration_cm3"), "deposition_temperature_c": text("deposition_temperature_c"), "deposition_rate_nm_s": text("deposition_rate_nm_s")}
+    anneal = {"anneal_temperature_c": text("anneal_temperature_c"), "anneal_time_s": text("anneal_time_s"), "anneal_rate_c_s": text("anneal_rate_c_s"), "anneal_pressure_pa": text("pressure_pa"), "anneal_ambient": F.concat(F.lit('"'), F.col("ambient"), F.lit('"'))}
+    made = lambda fields: F.substring(F.sha1(F.concat_ws("|", "article_key", "point_id", json_numbers(fields)).cast("binary")), 1, 16)
+    return {"condition_vector_deposition": made(deposition), "condition_vector_anneal": made(anneal)}
+
+
+#: Nodes that articles share: type -> (column, stage). Ids are the type and the clean label, of articles the label.
+SHARED = {
+    "article": ("article_key", "deposition"), "substrate": ("substrate", "deposition"), "substrate_orientation": ("orientation", "deposition"), "dopant_signature": ("dopant_signature", "deposition"), "alloy_signature": ("alloy_signature", "deposition"),
+    "precursor": ("precursor", "deposition"), "method_step_deposition": ("method", "deposition"), "method_step_anneal": ("method", "annealing"),
+}
+#: Nodes of one point: type -> stage.
+OWN = {
+    "deposition_state": "deposition", "anneal_step": "annealing", "film_phase_instance_as_deposited": "deposition", "film_phase_instance_post_anneal": "annealing",
+    "condition_vector_deposition": "deposition", "condition_vector_anneal": "annealing", "quality_outcome": "annealing",
+}
+#: Edges of a point: (source type, target type, edge type).
+PROCESS_EDGES = (
+    ("article", "deposition_state", "article_has_deposition_state"), ("deposition_state", "anneal_step", "deposition_state_precedes_anneal_step"), ("deposition_state", "film_phase_instance_as_deposited", "deposition_state_yields_phase_instance"),
+    ("anneal_step", "film_phase_instance_post_anneal", "anneal_step_yields_phase_instance"), ("film_phase_instance_as_deposited", "film_phase_instance_post_anneal", "phase_instance_transitions_to_phase_instance"),
+    ("film_phase_instance_as_deposited", "condition_vector_deposition", "phase_instance_observed_under_condition"), ("film_phase_instance_post_anneal", "condition_vector_anneal", "phase_instance_observed_under_condition"),
+    ("film_phase_instance_post_anneal", "quality_outcome", "phase_instance_has_quality_outcome"), ("deposition_state", "substrate", "deposition_state_on_substrate"), ("deposition_state", "substrate_orientation", "deposition_state_has_orientation"),
+    ("deposition_state", "dopant_signature", "deposition_state_has_dopant_signature"), ("deposition_state", "alloy_signature", "deposition_state_has_alloy_signature"), ("deposition_state", "precursor", "deposition_state_uses_precursor"),
+    ("deposition_state", "method_step_deposition", "deposition_state_uses_method_step"), ("anneal_step", "method_step_anneal", "anneal_step_uses_method_step"),
+)
+
+
+def _process_ids() -> dict[str, Column]:
+    shared = {k: F.concat(F.lit(f"{k}:"), F.col(c) if k == "article" else key_clean(F.col(c))) for k, (c, _) in SHARED.items()}
+    conditions = {k: F.concat(F.lit(f"{k}:"), c) for k, c in _conditions().items()}
+    return shared | {k: conditions.get(k, _own_id(k)) for k in OWN}
+
+
+def process_graph(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of points, one a row with a point_id of its own: deposition, annealing, phases, conditions and outcome of each, and what articles share.
+
+    Nodes of points are made row by row; only what is shared is aggregated, by its raw label.
+    """
+    p, ids = prepared(points).where("point_id <> ''"), _process_ids()
+    labels = {"film_phase_instance_as_deposited": F.col("film"), "film_phase_instance_post_anneal": F.col("phase"), "quality_outcome": F.lit("quality_outcome"), "deposition_state": F.concat(F.lit("deposition:"), "point_id"), "anneal_step": F.concat(F.lit("anneal:"), "point_id")}
+    own = F.array(*[F.struct(ids[k].alias("node_id"), F.lit(k).alias("node_type"), F.lit(stage).alias("stage"), labels.get(k, ids[k]).alias("label")) for k, stage in OWN.items()])
+    of_points = p.select("article_key", F.explode(own).alias("n")).select("n.node_id", "n.node_type", "article_key", "n.stage", "n.label")
+    shared = F.array(*[F.struct(F.lit(k).alias("node_type"), F.lit(stage).alias("stage"), F.col(c).alias("label")) for k, (c, stage) in SHARED.items()])
+    raw = p.select("article_key", F.explode(shared).alias("n")).select("article_key", "n.*").groupBy("node_type", "stage", "label").agg(F.min("article_key").alias("article_key"))
+    named = raw.withColumn("node_id", F.concat("node_type", F.lit(":"), F.when(F.col("node_type") == "article", F.col("label")).otherwise(key_clean(F.col("label")))))
+    of_all = named.groupBy("node_id", "node_type", "stage").agg(F.min(F.struct("article_key", "label")).alias("f")).select("node_id", "node_type", "f.article_key", "stage", "f.label")
+    made = F.array(*[F.struct(ids[s].alias("source_id"), ids[t].alias("target_id"), F.lit(k).alias("edge_type")) for s, t, k in PROCESS_EDGES])
+    links = p.select("article_key", "point_id", "confidence", "provenance_ref", F.explode(made).alias("e")).select("article_key", "e.*", science.clamp(F.col("confidence")).alias("evidence_weight"), "provenance_ref", F.col("point_id").alias("source_point_id"))
+    return of_points.unionByName(of_all), links.withColumn("edge_id", edge_id("edge_", F.col("article_key"), F.col("source_id"), F.col("target_id"), F.col("edge_type"), F.col("source_point_id")))
+
+
+def _ratio(x: Column) -> Column:
+    return F.format_string("%s:%.4f", x["element"], F.when(x["ratio"] > 0, x["ratio"]).otherwise(1.0))
+
+
+def _concepts_of_points() -> Column:
+    one = lambda kind, label: F.struct(F.lit(kind).alias("concept_type"), label.alias("label"))
+    many = lambda kind, labels: F.transform(labels, lambda x: one(kind, x))
+    or_ = lambda c, other: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(other))
+    group = F.when(F.col("sg_symbol") != "", F.col("sg_symbol")).otherwise(F.concat(F.lit("sg"), F.col("sg_number")))
+    has_group = (F.col("sg_symbol") != "") | (F.col("sg_number") != "")
+    fixed = F.array(
+        one("formula", or_("formula", "unknown_formula")), one("substrate_material", F.col("substrate")), one("orientation_family", F.col("orientation")), one("precursor_chemistry", F.col("precursor")), one("method_family", F.col("method")), one("ambient_gas", F.col("ambient")),
+        one("temperature_regime", science.bucket(F.col("regime_temperature_c"), science.TEMPERATURE)), one("time_regime", science.bucket(F.col("anneal_time_s"), science.TIME)), one("pressure_regime", science.bucket(F.col("pressure_pa"), science.PRESSURE)),
+        one("stability_band", science.bucket(F.col("hull"), science.STABILITY)), one("energy_hull_bucket", science.bucket(F.col("hull"), science.HULL)), one("bandgap_bucket", science.bandgap_bucket(F.col("band_gap"))), one("metallicity_class", science.metallicity(F.col("is_metal"))),
+        one("magnetic_class", or_("magnetic", "magnetic_unknown")), one("quality_metric_type", F.lit("film_quality_score_numeric")), one("defect_metric_type", F.when(F.col("vacancy_concentration_cm3") > 0, "vacancy_concentration_cm3").otherwise("defect_unknown")),
+        one("interface_state_type", or_("interface", "interface_unknown")), one("prototype_family", or_("prototype", "prototype_unknown")),
+    )
+    groups = F.when(has_group, F.array(one("space_group", group), one("crystal_system", science.crystal_system(F.col("sg_number").try_cast("int"))))).otherwise(F.array().cast("array<struct<concept_type: string, label: string>>"))
+    return F.concat(fixed, many("element", science.elements(F.col("formula"))), F.transform(science.stoichiometry(F.col("formula")), lambda x: one("stoich_component", _ratio(x))), many("dopant_element", F.col("dopants")), many("alloy_element", F.col("alloys")), groups)
+
+
+def concept_graph(points: DataFrame, seeded: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of the concepts that points name, each once: (concept_id, concept_type, key, label), seeds first, and (source_id, target_id, edge_type, evidence_weight), of equal edges the one of the least point."""
+    spark, p = points.sparkSession, prepared(points)
+    seen = p.select(F.explode(_concepts_of_points()).alias("c")).select("c.*").groupBy("concept_type", "label").agg(F.count(F.lit(1)).alias("n"))
+    own = seen.select("concept_type", key_clean(F.col("label")).alias("key"), "label", F.lit(1).alias("rank"))
+    every = own.union(ontology(spark).select("concept_type", "key", "label", F.lit(0).alias("rank"))) if seeded else own
+    concept = lambda kind, key: F.concat(F.lit("concept:"), kind, F.lit(":"), key)
+    nodes_ = every.groupBy("concept_type", "key").agg(F.min(F.struct("rank", "label")).alias("f")).select(concept(F.col("concept_type"), F.col("key")).alias("concept_id"), "concept_type", "key", F.col("f.label").alias("label"))
+    link = lambda s, sk, t, tk, k, w: F.struct(concept(F.lit(s), key_clean(sk)).alias("source_id"), concept(F.lit(t), key_clean(tk)).alias("target_id"), F.lit(k).alias("edge_type"), w.alias("weight"))
+    formula, w = F.coalesce(F.nullif(F.col("formula"), F.lit("")), F.lit("unknown_formula")), science.clamp(F.col("confidence"))
+    group = F.when(F.col("sg_symbol") != "", F.col("sg_symbol")).otherwise(F.concat(F.lit("sg"), F.col("sg_number")))
+    groups = F.array(link("formula", formula, "space_group", group, "formula_has_space_group", w), link("space_group", group, "crystal_system", science.crystal_system(F.col("sg_number").try_cast("int")), "space_group_in_crystal_system", F.lit(0.8)))
+    made = F.concat(
+        F.array(link("substrate_material", F.col("substrate"), "orientation_family", F.col("orientation"), "substrate_has_orientation_family", w)),
+        F.transform(science.elements(F.col("formula")), lambda e: link("formula", formula, "element", e, "formula_has_element", w)),
+        F.transform(science.stoichiometry(F.col("formula")), lambda x: link("formula", formula, "stoich_component", _ratio(x), "formula_has_stoich_component", w)),
+        F.when((F.col("sg_symbol") != "") | (F.col("sg_number") != ""), groups).otherwise(F.array().cast("array<struct<source_id: string, target_id: string, edge_type: string, weight: double>>")),
+    )
+    found = p.select("point_id", F.explode(made).alias("e")).select("e.source_id", "e.target_id", "e.edge_type", F.col("e.weight").alias("weight"), F.struct(F.lit(1).alias("a"), "point_id").alias("o"))
+    seeds = ontology_links(spark).select(concept(F.col("source_type"), F.col("source_key")).alias("source_id"), concept(F.col("target_type"), F.col("target_key")).alias("target_id"), "edge_type", "weight", F.struct(F.lit(0).alias("a"), F.lit("").alias("point_id")).alias("o"))
+    edges_ = (found.union(seeds) if seeded else found).groupBy("source_id", "target_id", "edge_type").agg(F.min_by("weight", "o").alias("evidence_weight"))
+    return nodes_, edges_.withColumn("edge_id", edge_id("edge_", F.col("source_id"), F.col("target_id"), F.col("edge_type")))
+
+
+def concept_support(points: DataFrame) -> DataFrame:
+    """(concept_type, key, support): distinct articles of each formula, element and substrate over three, at most 1."""
+    p = prepared(points)
+    one = lambda kind, label: F.struct(F.lit(kind).alias("concept_type"), key_clean(label).alias("key"))
+    named = lambda c: F.when(c, F.lit(True))
+    made = F.concat(F.array_compact(F.array(F.when(named(F.col("formula") != ""), one("formula", F.col("formula"))), F.when(named(F.col("substrate") != "unknown_substrate"), one("substrate_material", F.col("substrate"))))), F.transform(science.elements(F.col("formula")), lambda e: one("element", e)))
+    return p.select("article_key", F.explode(made).alias("c")).select("article_key", "c.*").groupBy("concept_type", "key").agg(F.least(F.lit(1.0), F.countDistinct("article_key") / 3).alias("support"))
+
+
+def bridge_candidates(points: DataFrame, concepts: DataFrame, gates: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """Every link of a point to a concept that exists, with gate, weight and keep: the gate is allowed and the weight reaches the threshold."""
+    p = prepared(points).where("point_id <> ''")
+    phase, deposition, anneal = _own_id("film_phase_instance_post_anneal"), _own_id("deposition_state"), _own_id("anneal_step")
+    one = lambda source, kind, label, gate: F.struct(source.alias("source_id"), F.lit(kind).alias("concept_type"), key_clean(label).alias("key"), F.lit(gate).alias("gate"))
+    metal = F.when(science.metallicity(F.col("is_metal")) == "metallic", "metallic").otherwise("metallicity_unknown")
+    fixed = F.array(
+        one(phase, "formula", F.coalesce(F.nullif(F.col("formula"), F.lit("")), F.lit("unknown_formula")), "film"), one(deposition, "substrate_material", F.col("substrate"), "substrate"), one(deposition, "orientation_family", F.col("orientation"), "substrate"),
+        one(deposition, "precursor_chemistry", F.col("precursor"), "precursor"), one(deposition, "method_family", F.col("method"), "method"), one(anneal, "temperature_regime", science.bucket(F.col("regime_temperature_c"), science.TEMPERATURE), "method"),
+        one(phase, "stability_band", science.bucket(F.col("hull"), science.STABILITY), "thermo"), one(phase, "metallicity_class", metal, "electronic"),
+    )
+    alignment = reduce(lambda w, kv: w.when(F.col("mp_label") == kv[0], F.lit(kv[1])), ALIGNMENT.items(), F.when(F.lit(False), F.lit(0.0))).otherwise(0.5)
+    made = F.concat(fixed, F.transform(science.elements(F.col("formula")), lambda e: one(phase, "element", e, "film")))
+    every = p.select("article_key", F.col("point_id").alias("source_point_id"), "provenance_ref", science.clamp(F.col("confidence")).alias("extraction_conf"), "provenance_quality", alignment.alias("mp_alignment"), F.explode(made).alias("c")).select("*", "c.*").drop("c")
+    linked = every.join(concepts.select("concept_type", "key", F.col("concept_id").alias("target_id")), ["concept_type", "key"]).join(concept_support(points), ["concept_type", "key"], "left")
+    fixed_agreement = reduce(lambda w, kv: w.when(F.col("concept_type") == kv[0], F.lit(kv[1])), UNCOUNTED.items(), F.when(F.lit(False), F.lit(0.0))).otherwise(F.coalesce("support", F.lit(NO_COUNT)))
+    proximity = reduce(lambda w, kv: w.when(F.col("gate") == kv[0], F.lit(kv[1])), GATES.items(), F.when(F.lit(False), F.lit(0.0))).otherwise(OTHER_PROXIMITY)
+    weight = science.bridge_weight(F.col("extraction_conf"), F.col("provenance_quality"), proximity, fixed_agreement, F.col("mp_alignment"))
+    out = linked.withColumns({"weight": weight, "gate_type": F.concat("gate", F.lit("_gate"))})
+    return out.withColumn("keep", F.col("gate").isin(*sorted(gate_set(gates))) & (F.round("weight", 9) >= threshold)).select("article_key", "source_id", "target_id", "gate_type", "keep", "weight", "provenance_ref", "source_point_id")
+
+
+def bridge_edges(candidates: DataFrame) -> DataFrame:
+    return candidates.where("keep").withColumn("bridge_id", edge_id("bridge_", F.col("article_key"), F.col("source_id"), F.col("target_id"), F.col("gate_type"), F.col("source_point_id"))).drop("keep").dropDuplicates(["bridge_id"])
+
+
+def bridge_features(rows: DataFrame, bridges_: DataFrame, key: str = "point_id") -> DataFrame:
+    """rows with count, mean, largest weight and share of the seven gates of their bridges; 0 without any."""
+    stats = bridges_.groupBy(F.col("source_point_id").alias("_p")).agg(F.count(F.lit(1)).cast("double").alias("concept_bridge_count"), F.avg("weight").alias("concept_bridge_mean_weight"), F.max("weight").alias("concept_bridge_max_weight"), (F.countDistinct("gate_type") / 7).alias("concept_gate_coverage"))
+    names = [c for c in stats.columns if c != "_p"]
+    out = rows.drop(*names).join(stats, F.col(key) == F.col("_p"), "left").drop("_p")
+    return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in names})
+
+
+def dual_audit(process: tuple[DataFrame, DataFrame], concepts: tuple[DataFrame, DataFrame], candidates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row: orphans of the three edge tables, weights out of range or under the threshold, precedence edges between wrong types, and ok."""
+    ids, links = process[0].select(F.col("node_id").alias("id"), "node_type"), process[1].select("source_id", "target_id", "edge_type")
+    notions = concepts[0].select(F.col("concept_id").alias("id"))
+    lost = lambda e, end, nodes_: e.join(nodes_.select("id"), e[end] == nodes_["id"], "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    kept = bridge_edges(candidates)
+    counts = {
+        "process_orphans": [lost(links, "source_id", ids), lost(links, "target_id", ids)], "concept_orphans": [lost(concepts[1], "source_id", notions), lost(concepts[1], "target_id", notions)], "bridge_orphans": [lost(kept, "source_id", ids), lost(kept, "target_id", notions)],
+        "bad_weights": [candidates.agg(F.count_if(~F.col("weight").between(0, 1) | (F.col("keep") & (F.round("weight", 9) < threshold))).alias("n"))],
+        "bad_precedence": [lost(links.where("edge_type = 'deposition_state_precedes_anneal_step'"), "source_id", ids.where("node_type = 'deposition_state'")), lost(links.where("edge_type = 'deposition_state_precedes_anneal_step'"), "target_id", ids.where("node_type = 'anneal_step'"))],
+    }
+    rows = [t.select(F.lit(name).alias("issue"), "n") for name, ts in counts.items() for t in ts]
+    long = reduce(DataFrame.unionByName, rows)  # a row each
+    wide = long.agg(*[F.sum(F.when(F.col("issue") == name, F.col("n")).otherwise(0)).alias(name) for name in counts])
+    return wide.withColumn("ok", F.expr(" + ".join(counts)) == 0)

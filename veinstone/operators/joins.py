@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veinstone.session import stored
+
 
 def band_candidates(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float) -> DataFrame:
     """Pairs of equal entity within both tolerances. x is cut into cells of the tolerance's width, so that this is an equality join with the neighbouring cells."""
@@ -15,32 +16,61 @@ def band_candidates(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: st
     return joined.where((F.abs(F.col(x) - F.col("gold_x")) <= tol_x) & (F.abs(F.col(y) - F.col("gold_y")) <= tol_y)).drop("_cell", "_gcell", "_entity")
 
 
-def greedy_match(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float, order: str, id_type: str) -> DataFrame:
-    """Predictions by order each take their first free gold row (by gold_id) within tolerance: pred id and gold id of each match.
+def greedy_match(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float, order: str) -> DataFrame:
+    """Predictions by order each take their first free gold row (by gold_id) within tolerance: order and gold_id of each match.
 
-    Sequential within an entity, so an entity's candidate pairs meet in one task.
+    By rounds instead of one by one: every prediction asks its first gold row, every gold row holds
+    the earliest that asked, and pairs that this rules out (a gold row's later predictions) go. A
+    gold row only ever changes to an earlier prediction, so nothing that goes could come back, and
+    what is left when no pair goes is the sequential result. No group meets in one task.
+    """
+    pairs = stored(band_candidates(pred, gold, entity, x, y, tol_x, tol_y).select(order, "gold_id").distinct(), "pairs")
+    n = pairs.count()
+    while True:
+        asked = pairs.groupBy(order).agg(F.min("gold_id").alias("gold_id"))
+        held = asked.groupBy("gold_id").agg(F.min(order).alias("_holder"))
+        left = stored(pairs.join(held, "gold_id", "left").where(F.col("_holder").isNull() | (F.col(order) <= F.col("_holder"))).select(order, "gold_id"), "pairs")
+        m = left.count()
+        if m == n:
+            return held.select(F.col("_holder").alias(order), "gold_id")
+        pairs, n = left, m
+
+
+def nearest(rows: DataFrame, gold: DataFrame, x: str, y: str, key: str, width: float) -> DataFrame:
+    """key, gold_id, distance (sum of both coordinates' differences), dx and dy of the nearest gold row, ties by gold_id; none without gold rows.
+
+    Rows meet the gold rows of their cell and its neighbours; a hit that is nearer than the edge of
+    these cells is final, and the rest goes on with cells of double width, until one cell holds all.
     """
-    pairs = band_candidates(pred, gold, entity, x, y, tol_x, tol_y).select(entity, order, "gold_id")
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values([order, "gold_id"])
-        used, done, out = set(), set(), []
-        for o, g in zip(part[order], part["gold_id"]):
-            if o not in done and g not in used:
-                done.add(o)
-                used.add(g)
-                out.append((o, g))
-        return pd.DataFrame(out, columns=[order, "gold_id"])
-
-    return pairs.groupBy(entity).applyInPandas(run, f"{order} {id_type}, gold_id long")
-
-
-def nearest(rows: DataFrame, gold: DataFrame, by: str, distance: Column, tie: str) -> DataFrame:
-    """rows with the gold row of the same group at the least distance (ties: the least `tie`)."""
-    g = gold.withColumnRenamed(by, "_by")
-    near = rows.join(g, rows[by] == g["_by"]).withColumn("distance", distance)
-    w = Window.partitionBy(*[F.col(c) for c in rows.columns]).orderBy("distance", tie)
-    return near.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_by")
+    g = gold.select("gold_id", F.col(x).alias("_gx"), F.col(y).alias("_gy"))
+    span = gold.agg(F.max(F.greatest(F.abs(x), F.abs(y)))).first()[0]
+    reach = rows.agg(F.max(F.greatest(F.abs(x), F.abs(y)))).first()[0]
+    if span is None or reach is None:
+        return rows.select(key).limit(0).select(key, F.lit(0).cast("long").alias("gold_id"), *[F.lit(0.0).alias(c) for c in ("distance", "dx", "dy")])
+    todo, done = rows.select(key, x, y), None
+    while True:
+        cell = lambda c, k=0: (F.floor(F.col(c) / width) + k).cast("long")  # noqa: E731,B023
+        steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        spread = todo.withColumn("_s", F.explode(steps)).withColumns({"_cx": cell(x) + F.col("_s.i"), "_cy": cell(y) + F.col("_s.j")}).drop("_s")
+        met = spread.join(g.withColumns({"_cx": cell("_gx"), "_cy": cell("_gy")}), ["_cx", "_cy"])
+        dx, dy = F.abs(F.col(x) - F.col("_gx")), F.abs(F.col(y) - F.col("_gy"))
+        best = met.groupBy(key, x, y).agg(F.min(F.struct(F.round(dx + dy, 9).alias("d"), "gold_id", dx.alias("dx"), dy.alias("dy"))).alias("b"))
+        last = width > 2 * max(span, reach, 1e-9)  # three cells a side hold everything
+        edge = F.least(*[e for c in (x, y) for e in (F.col(c) - (F.floor(F.col(c) / width) - 1) * width, (F.floor(F.col(c) / width) + 2) * width - F.col(c))])
+        final = best if last else best.where(F.col("b.d") < edge)
+        found = stored(final.select(key, F.col("b.gold_id").alias("gold_id"), F.col("b.d").alias("distance"), "b.dx", "b.dy"), "nearest")
+        done = found if done is None else done.unionByName(found)
+        if last:
+            return done
+        todo, width = stored(todo.join(found, key, "left_anti"), "todo"), width * 2
+        if todo.isEmpty():
+            return done
+
+
+def miss_reason(entity: Column, gold_entity: Column, dx: Column, dy: Column, tol_x: float, tol_y: float) -> Column:
+    """Why a prediction has no match, by its nearest gold row."""
+    same = F.lower(F.trim(F.coalesce(entity, F.lit("")))) == F.lower(F.trim(F.coalesce(gold_entity, F.lit(""))))
+    return F.when(~same, "entity_mismatch").when((dx > tol_x) & (dy > tol_y), "x_y_outside_tolerance").when(dx > tol_x, "x_outside_tolerance").when(dy > tol_y, "y_outside_tolerance").otherwise("duplicate_or_collision")
 
 
 def nearest_context(rows: DataFrame, contexts: DataFrame, by: str, line: str, key: str) -> DataFrame:

@@ -131,13 +131,13 @@ def observed(spark, sf_dir):
 
 
 def point_completeness(spark, sf_dir):
-    rows = observed(spark, sf_dir).where("event_id % 7 = 0")
+    rows = observed(spark, sf_dir)
     out = evidence.validate(rows, [("out_of_range", F.col("normalized_value") > 50)], ("click", "purchase"))
     return out.select("event_id", "point_id", "variable_name", "reject_reason")
 
 
 COMPLETENESS_SQL = """
-with r as (select *, bool_or(event_type = 'click') over (partition by user_id) and bool_or(event_type = 'purchase') over (partition by user_id) as whole from events where event_id % 7 = 0)
+with r as (select *, bool_or(event_type = 'click') over (partition by user_id) and bool_or(event_type = 'purchase') over (partition by user_id) as whole from events)
 select event_id, user_id::varchar as point_id, event_type as variable_name,
   concat_ws(';', case when value > 50 then 'out_of_range' end, case when not whole then 'missing_primary_variables' end) as reject_reason from r"""
 

@@ -38,7 +38,7 @@ def resume_pending(spark, sf_dir):
 
 
 def note_links(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").where("o_custkey < 60")
+    o = read(spark, sf_dir, "orders")
     md = notes.export(o.withColumn("target", F.concat(F.lit("order-"), "o_orderkey")), "o_custkey", "o_orderstatus", "target", "o_orderkey")
     return notes.links(md, "o_custkey", "markdown").select("o_custkey", "heading", "target")
 
@@ -73,11 +73,16 @@ def reference_records(spark, sf_dir):
     return context.references(read(spark, sf_dir, "part").select(raw.alias("raw_json"))).groupBy("crystal_system", "space_group").agg(F.count(F.lit(1)).alias("n"))
 
 
-REFERENCE_SQL = "select case when k <= 2 then 'triclinic' when k <= 15 then 'monoclinic' when k <= 74 then 'orthorhombic' when k <= 142 then 'tetragonal' when k <= 167 then 'trigonal' when k <= 194 then 'hexagonal' when k <= 230 then 'cubic' end as crystal_system, 'Pnma' as space_group, count(*) as n from (select p_size * 4 as k from part) group by 1"
+REFERENCE_SQL = "select case when k <= 2 then 'triclinic' when k <= 15 then 'monoclinic' when k <= 74 then 'orthorhombic' when k <= 142 then 'tetragonal' when k <= 167 then 'trigonal' when k <= 194 then 'hexagonal' else 'cubic' end as crystal_system, 'Pnma' as space_group, count(*) as n from (select p_size * 4 as k from part) group by 1"
 
 
 def ontology_seed(spark, sf_dir):
-    return context.ontology(spark).groupBy("concept_type").agg(F.count(F.lit(1)).alias("n"))
+    """The orders' years as space groups, with what the ontology says of them, and the size of each vocabulary."""
+    seeds = context.ontology(spark)
+    used = read(spark, sf_dir, "orders").select(F.concat(F.lit("sg"), F.year("o_orderdate") - 1900).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    links = context.ontology_links(spark).select(F.col("source_key").alias("key"), F.col("target_key").alias("crystal_system"))
+    named = used.join(seeds.where("concept_type = 'space_group'"), "key").join(links, "key").select("concept_type", "label", "crystal_system", "n")
+    return named.union(seeds.groupBy("concept_type").agg(F.count(F.lit(1)).alias("n")).select("concept_type", F.lit("").alias("label"), F.lit("").alias("crystal_system"), "n"))
 
 
 def dense_node_ids(spark, sf_dir):
@@ -105,12 +110,15 @@ def article_type_counts(spark, sf_dir):
 REGISTRY = {
     "fetch_first_success": (fetch_first_success, FETCH_SQL),
     "resume_pending": (resume_pending, "select page_id::varchar as article_key from pages where page_id % 3 > 0 order by length(page_id::varchar), page_id::varchar limit 20"),
-    "note_links": (note_links, "select o_custkey, o_orderstatus as heading, 'order-' || o_orderkey as target from orders where o_custkey < 60"),
-    "note_supervision": (note_supervision, "select o_custkey, sum(case when o_orderstatus = 'F' then -0.5 else 0.5 end)::double as score, count(*) filter (o_orderstatus <> 'F') as n_for, count(*) filter (o_orderstatus = 'F') as n_against from orders where o_custkey < 60 group by 1"),
+    "note_links": (note_links, "select o_custkey, o_orderstatus as heading, 'order-' || o_orderkey as target from orders"),
+    "note_supervision": (note_supervision, "select o_custkey, sum(case when o_orderstatus = 'F' then -0.5 else 0.5 end)::double as score, count(*) filter (o_orderstatus <> 'F') as n_for, count(*) filter (o_orderstatus = 'F') as n_against from orders group by 1"),
     "reply_tuples": (reply_tuples, "select p_partkey, p_type as entity, p_size::double as x, p_size + 0.5::double as y from part where p_partkey % 4 < 3"),
     "context_merge": (context_merge, CONTEXT_SQL),
     "reference_records": (reference_records, REFERENCE_SQL),
-    "ontology_seed": (ontology_seed, "select * from (values ('film_element', 118), ('dopant_element', 118), ('alloy_element', 118), ('space_group', 230), ('crystal_system', 7), ('temperature_regime', 4), ('time_regime', 4)) t(concept_type, n)"),
+    "ontology_seed": (ontology_seed, """with y as (select year(o_orderdate) - 1900 as k, count(*) as n from orders group by 1)
+        select 'space_group' as concept_type, 'SG' || k as label, case when k <= 2 then 'triclinic' when k <= 15 then 'monoclinic' when k <= 74 then 'orthorhombic' when k <= 142 then 'tetragonal' when k <= 167 then 'trigonal' when k <= 194 then 'hexagonal' else 'cubic' end as crystal_system, n from y union all
+        select concept_type, '', '', n from (values ('element', 118), ('dopant_element', 118), ('alloy_element', 118), ('space_group', 230), ('crystal_system', 8), ('orientation_family', 11), ('method_family', 16), ('ambient_gas', 10), ('temperature_regime', 5), ('time_regime', 5), ('pressure_regime', 5),
+        ('stability_band', 4), ('energy_hull_bucket', 5), ('bandgap_bucket', 5), ('metallicity_class', 3), ('magnetic_class', 5), ('substrate_material', 1), ('precursor_chemistry', 1), ('prototype_family', 1), ('quality_metric_type', 1), ('defect_metric_type', 2), ('interface_state_type', 1)) t(concept_type, n)"""),
     "dense_node_ids": (dense_node_ids, "with n as (select 'article' as node_type, count(distinct l_orderkey) as c from lineitem union all select 'film', count(distinct p_name) from lineitem join part on l_partkey = p_partkey union all select 'substrate', count(distinct p_brand) from lineitem join part on l_partkey = p_partkey union all select 'method', count(distinct n_name) from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey) select node_type, c as n, 0 as low, c - 1 as high, c as n_index from n"),
     "thickness_posterior": (thickness_posterior, THICKNESS_SQL),
     "article_type_counts": (article_type_counts, """with c as (select o_custkey, o_orderstatus as s, count(*) as n from orders group by all) select o_custkey, '{' || string_agg('"' || s || '":' || n, ',' order by s) || '}' as counts from c group by 1"""),

@@ -17,22 +17,22 @@ def conversations(spark, sf_dir):
 def nearest_context(spark, sf_dir):
     c = conversations(spark, sf_dir).withColumn("n", F.length("text"))
     rows = c.where("role = 'assistant'").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "conv_id", F.col("turn").alias("line"))
-    ctx = c.where("role = 'user'").select("conv_id", F.col("turn").alias("line"), F.col("n").alias("score"), F.substring("text", 1, 12).alias("context"))
+    ctx = c.where("role = 'user'").select("conv_id", F.col("turn").alias("line"), F.col("n").alias("score"), F.sha1(F.col("text").cast("binary")).alias("context"))
     return joins.nearest_context(rows, ctx, "conv_id", "line", "id")
 
 
-NEAREST_CONTEXT_SQL = """with a as (select conv_id || '-' || turn as id, conv_id, turn from conversations where role = 'assistant'), u as (select conv_id, turn as t, length(text) as s, substr(text, 1, 12) as context from conversations where role = 'user'),
+NEAREST_CONTEXT_SQL = """with a as (select conv_id || '-' || turn as id, conv_id, turn from conversations where role = 'assistant'), u as (select conv_id, turn as t, length(text) as s, sha1(text) as context from conversations where role = 'user'),
 j as (select a.id, u.context, case when a.turn = 0 or u.t = 0 then 999999 else abs(a.turn - u.t) end as gap, u.s, u.t from a join u using (conv_id)),
 r as (select *, row_number() over (partition by id order by gap, s desc, t) as rn, min(gap) over (partition by id) as g from j)
 select id, context, g as gap from r where rn = 1"""
 
 
 def window_assemble(spark, sf_dir):
-    rows = lines(spark, sf_dir).where("l_orderkey % 4 = 0 and l_tax < 0.03").select(F.col("l_orderkey").alias("article"), F.col("l_linenumber").alias("line"), F.when(F.col("l_returnflag") == "N", "x").otherwise("y").alias("variable_name"), F.col("l_quantity").alias("value"), (1 - F.col("l_discount")).alias("confidence"), point_key().alias("k"))
+    rows = lines(spark, sf_dir).select(F.col("l_orderkey").alias("article"), F.col("l_linenumber").alias("line"), F.when(F.col("l_returnflag") == "N", "x").otherwise("y").alias("variable_name"), F.col("l_quantity").alias("value"), (1 - F.col("l_discount")).alias("confidence"), point_key().alias("k"))
     return joins.window_assemble(evidence.keep_one(rows, ["article", "line", "variable_name"], [F.asc("k")]), "article", "line", 1)
 
 
-ASSEMBLE_SQL = f"""with r as (select l_orderkey as article, l_linenumber as line, case when l_returnflag = 'N' then 'x' else 'y' end as v, l_quantity as value, 1 - l_discount as c, {KEY} as k from lineitem where l_orderkey % 4 = 0 and l_tax < 0.03),
+ASSEMBLE_SQL = f"""with r as (select l_orderkey as article, l_linenumber as line, case when l_returnflag = 'N' then 'x' else 'y' end as v, l_quantity as value, 1 - l_discount as c, {KEY} as k from lineitem),
 o as (select * from (select *, row_number() over (partition by article, line, v order by k) as rn from r) where rn = 1),
 n as (select a.article, a.line as anchor, o.v, o.value, row_number() over (partition by a.article, a.line, o.v order by abs(o.line - a.line), -o.c, o.line) as rn from (select distinct article, line from o) a join o on o.article = a.article and o.line between a.line - 1 and a.line + 1)
 select article, anchor, max(value) filter (v = 'x') as x, max(value) filter (v = 'y') as y from n where rn = 1 group by all"""
@@ -55,24 +55,24 @@ def as_of(spark, sf_dir):
     return joins.as_of(rows, facts, "user_id", "ts", "last_view").select("event_id", "last_view")
 
 
-def gold_and_pred(spark, sf_dir, some_lines="true", some_parts="true"):
-    pred = lines(spark, sf_dir).where(some_lines).select(point_key().alias("k"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), F.col("l_returnflag").alias("entity"))
-    gold = read(spark, sf_dir, "part").where(some_parts).select(F.col("p_partkey").alias("gold_id"), (F.col("p_size") * 12.0).alias("x"), (F.col("p_retailprice") % 100).alias("y"), F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("p_partkey") % 3 + 1).cast("int")).alias("entity"))
+def gold_and_pred(spark, sf_dir):
+    pred = lines(spark, sf_dir).select(point_key().alias("k"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), F.col("l_returnflag").alias("entity"))
+    gold = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("gold_id"), (F.col("p_size") * 12.0).alias("x"), (F.col("p_retailprice") % 100).alias("y"), F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("p_partkey") % 3 + 1).cast("int")).alias("entity"))
     return pred, gold
 
 
 def tolerance_candidates(spark, sf_dir):
-    pred, gold = gold_and_pred(spark, sf_dir, "l_tax = 0.05", "p_size <= 3")
+    pred, gold = gold_and_pred(spark, sf_dir)
     return joins.band_candidates(pred, gold, "entity", "x", "y", 2.0, 8.0).groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("k").alias("n_pred"), F.countDistinct("gold_id").alias("n_gold"))
 
 
-GOLD = f"""p as (select {KEY} as k, l_quantity as x, l_extendedprice / 1000 as y, l_returnflag as entity from lineitem where l_tax = 0.05),
-g as (select p_partkey as gold_id, p_size * 12.0 as gx, p_retailprice % 100 as gy, ['A', 'N', 'R'][p_partkey % 3 + 1] as entity from part where p_size <= 3)"""
+GOLD = f"""p as (select {KEY} as k, l_quantity as x, l_extendedprice / 1000 as y, l_returnflag as entity, l_linestatus as status, l_discount as d from lineitem),
+g as (select p_partkey as gold_id, p_size * 12.0 as gx, p_retailprice % 100 as gy, ['A', 'N', 'R'][p_partkey % 3 + 1] as entity, p_type from part)"""
 
 
 def tolerance_match(spark, sf_dir):
     pred, gold = gold_and_pred(spark, sf_dir)
-    return joins.greedy_match(pred, gold, "entity", "x", "y", 2.0, 8.0, "k", "string")
+    return joins.greedy_match(pred, gold, "entity", "x", "y", 2.0, 8.0, "k")
 
 
 def match_scores(spark, sf_dir):
@@ -83,16 +83,16 @@ def match_scores(spark, sf_dir):
 
 
 def nearest_gold(spark, sf_dir):
-    pred, gold = gold_and_pred(spark, sf_dir, "l_tax = 0.05", "p_size <= 3")
-    small = gold.where("gold_id % 20 = 0").select("gold_id", F.col("x").alias("gx"), F.col("y").alias("gy"), "entity")
-    near = joins.nearest(pred.where("x <= 3"), small, "entity", F.round(F.abs(F.col("x") - F.col("gx")) + F.abs(F.col("y") - F.col("gy")), 6), "gold_id")
-    why = F.when(F.abs(F.col("x") - F.col("gx")) > 2, "x_out_of_tolerance").when(F.abs(F.col("y") - F.col("gy")) > 8, "y_out_of_tolerance").otherwise("already_matched")
-    return near.select("k", "gold_id", "distance", why.alias("reason"))
+    pred, gold = gold_and_pred(spark, sf_dir)
+    near = joins.nearest(pred, gold, "x", "y", "k", 4.0).join(pred.select("k", "entity"), "k").join(gold.select("gold_id", F.col("entity").alias("gold_entity")), "gold_id")
+    return near.select("k", "gold_id", F.round("distance", 6).alias("distance"), joins.miss_reason(F.col("entity"), F.col("gold_entity"), F.col("dx"), F.col("dy"), 2.0, 8.0).alias("reason"))
 
 
-NEAREST_SQL = f"""with {GOLD}, j as (select p.k, g.gold_id, round(abs(p.x - gx) + abs(p.y - gy), 6)::double as distance, abs(p.x - gx) as dx, abs(p.y - gy) as dy from p join g using (entity) where p.x <= 3 and gold_id % 20 = 0),
-r as (select *, row_number() over (partition by k order by distance, gold_id) as rn from j)
-select k, gold_id, distance, case when dx > 2 then 'x_out_of_tolerance' when dy > 8 then 'y_out_of_tolerance' else 'already_matched' end as reason from r where rn = 1"""
+#: Gold rows of one place and their least id of each: as many as differ.
+NEAREST_SQL = f"""with {GOLD}, u as (select gx, gy, min(gold_id) as gold_id, arg_min(entity, gold_id) as ge from g group by 1, 2), q as (select distinct x, y from p),
+j as (select x, y, arg_min({{'id': gold_id, 'ge': ge, 'dx': abs(x - gx), 'dy': abs(y - gy)}}, {{'d': round(abs(x - gx) + abs(y - gy), 9), 'i': gold_id}}) as b from q, u group by 1, 2)
+select k, b.id as gold_id, round(b.dx + b.dy, 6)::double as distance, case when entity <> b.ge then 'entity_mismatch' when b.dx > 2 and b.dy > 8 then 'x_y_outside_tolerance' when b.dx > 2 then 'x_outside_tolerance' when b.dy > 8 then 'y_outside_tolerance' else 'duplicate_or_collision' end as reason
+from p join j using (x, y)"""
 
 
 def cross_models(spark, sf_dir):
@@ -114,7 +114,7 @@ select a.v as a, b.v as b, count(*) as n from t a join t b on a.o_orderkey = b.o
 
 
 def cross_source_support(spark, sf_dir):
-    return graphs.cross_source_support(lines(spark, sf_dir).where("l_tax = 0"), "l_partkey", "l_suppkey").select("l_partkey", F.round("support", 6).alias("support"))
+    return graphs.cross_source_support(lines(spark, sf_dir), "l_partkey", "l_suppkey").select("l_partkey", F.round("support", 6).alias("support"))
 
 
 def frequency_features(spark, sf_dir):
@@ -200,7 +200,7 @@ select p_partkey, e || case when k > 1 then k::varchar else '' end || 'Si2' as f
 
 def reference_scores(spark, sf_dir):
     """References scored against points' formulas, ranked within each point, with the interpretation of the best."""
-    p = formula_components(spark, sf_dir).select("p_partkey", "formula").where("p_partkey % 10 = 0")
+    p = formula_components(spark, sf_dir).select("p_partkey", "formula")
     refs = spark.createDataFrame([("m1", "NiSi2", 0.0), ("m2", "Ni2Si2", 0.07), ("m3", "CoSi2", None), ("m4", "PtO", 0.3)], "material_id string, ref string, hull double")
     f = science.formula_match(F.col("formula"), F.col("ref"))
     s = p.join(F.broadcast(refs)).withColumn("formula_score", f).withColumn("score", science.reference_score(F.col("formula_score"), F.col("hull")))
@@ -208,7 +208,7 @@ def reference_scores(spark, sf_dir):
     return s.withColumn("rank", rank).select("p_partkey", "material_id", "rank", F.round("score", 6).alias("score"), science.interpretation(F.round("score", 9), F.col("formula_score"), F.lit(1)).alias("label"))
 
 
-REFS_SQL = f"""with p as (select * from ({FORMULA_SQL}) where p_partkey % 10 = 0), r(material_id, ref, hull, el) as (values ('m1', 'NiSi2', 0.0, ['Ni', 'Si']), ('m2', 'Ni2Si2', 0.07, ['Ni', 'Si']), ('m3', 'CoSi2', null, ['Co', 'Si']), ('m4', 'PtO', 0.3, ['Pt', 'O'])),
+REFS_SQL = f"""with p as (select * from ({FORMULA_SQL})), r(material_id, ref, hull, el) as (values ('m1', 'NiSi2', 0.0, ['Ni', 'Si']), ('m2', 'Ni2Si2', 0.07, ['Ni', 'Si']), ('m3', 'CoSi2', null, ['Co', 'Si']), ('m4', 'PtO', 0.3, ['Pt', 'O'])),
 f as (select *, case when formula = ref then 1 when list_sort(string_split(elements, ',')) = list_sort(el) then 0.85 when list_has_any(string_split(elements, ','), el) then 0.55 else 0 end::double as fs from p, r),
 s as (select *, 0.5 * fs + 0.3 * case when fs = 1 then 1 when fs > 0 then 0.6 else 0 end + 0.2 * case when hull is null then 0 when hull <= 0.05 then 1 when hull <= 0.10 then 0.7 else 0.4 end as score from f)
 select p_partkey, material_id, row_number() over (partition by p_partkey order by round(score, 9) desc, fs desc, material_id)::int as rank, round(score, 6)::double as score,
@@ -257,7 +257,7 @@ def progressive_gate(spark, sf_dir):
 
 
 def gate_audit(spark, sf_dir):
-    return recipes.gate_audit(candidates(spark, sf_dir)).groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
+    return recipes.gate_audit(candidates(spark, sf_dir)).groupBy("stage", "passed", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def safety_filter(spark, sf_dir):
@@ -271,21 +271,35 @@ SAFETY_SQL = """select array_to_string(list_sort(list_filter([case when contains
 
 def bucketers(spark, sf_dir):
     c = read(spark, sf_dir, "customer")
-    return c.groupBy(science.ladder(F.col("c_acctbal"), *science.TEMPERATURE).alias("temperature"), science.ladder(F.col("c_acctbal") / 100000, *science.HULL, zero_is_missing=True).alias("hull"), science.crystal_system(F.pmod(F.col("c_custkey"), F.lit(231))).alias("crystal")).agg(F.count(F.lit(1)).alias("n"))
+    v = F.col("c_acctbal")
+    return c.select("c_custkey", science.bucket(v, science.TEMPERATURE).alias("temperature"), science.bucket(v, science.TIME).alias("time"), science.bucket(v * 10, science.PRESSURE).alias("pressure"), science.bucket(v / 20000, science.STABILITY).alias("stability"), science.bucket(v / 20000, science.HULL).alias("hull"), science.bandgap_bucket(F.round(v / 2000)).alias("bandgap"), science.crystal_system(F.pmod(F.col("c_custkey"), F.lit(231))).alias("crystal"))
 
 
-BUCKET_SQL = """select case when c_acctbal is null then 'unknown' when c_acctbal < 200 then 'low' when c_acctbal < 400 then 'medium' when c_acctbal < 700 then 'high' else 'very_high' end as temperature,
-  case when c_acctbal is null or c_acctbal = 0 then 'unknown' when c_acctbal / 100000 < 0.025 then 'near_hull' when c_acctbal / 100000 < 0.05 then 'low' when c_acctbal / 100000 < 0.10 then 'moderate' else 'high' end as hull,
-  case when k between 1 and 2 then 'triclinic' when k between 3 and 15 then 'monoclinic' when k between 16 and 74 then 'orthorhombic' when k between 75 and 142 then 'tetragonal' when k between 143 and 167 then 'trigonal' when k between 168 and 194 then 'hexagonal' when k between 195 and 230 then 'cubic' else 'unknown' end as crystal, count(*) as n
-from (select *, c_custkey % 231 as k from customer) group by all"""
+BUCKET_SQL = """select c_custkey, case when v <= 0 then 'unknown_temperature_regime' when v < 200 then 'temp_regime_low' when v < 450 then 'temp_regime_mid' when v < 750 then 'temp_regime_high' else 'temp_regime_extreme' end as temperature,
+  case when v <= 0 then 'unknown_time_regime' when v < 30 then 'time_regime_short' when v < 600 then 'time_regime_medium' when v < 3600 then 'time_regime_long' else 'time_regime_very_long' end as time,
+  case when v <= 0 then 'unknown_pressure_regime' when v * 10 < 100 then 'pressure_regime_high_vacuum' when v * 10 < 10000 then 'pressure_regime_low_pressure' when v * 10 < 50000 then 'pressure_regime_mid_pressure' else 'pressure_regime_atm_like' end as pressure,
+  case when v <= 0 then 'stability_unknown' when v / 20000 <= 0.05 then 'stability_stable' when v / 20000 <= 0.10 then 'stability_metastable' else 'stability_unstable' end as stability,
+  case when v <= 0 then 'energy_hull_unknown' when v / 20000 <= 0.05 then 'energy_hull_0_0p05' when v / 20000 <= 0.10 then 'energy_hull_0p05_0p10' when v / 20000 <= 0.30 then 'energy_hull_0p10_0p30' else 'energy_hull_gt_0p30' end as hull,
+  case when round(v / 2000) < 0 then 'bandgap_unknown' when round(v / 2000) = 0 then 'bandgap_metallic' when round(v / 2000) < 1 then 'bandgap_narrow' when round(v / 2000) < 3 then 'bandgap_mid' else 'bandgap_wide' end as bandgap,
+  case when k <= 2 then 'triclinic' when k <= 15 then 'monoclinic' when k <= 74 then 'orthorhombic' when k <= 142 then 'tetragonal' when k <= 167 then 'trigonal' when k <= 194 then 'hexagonal' else 'cubic' end as crystal
+from (select *, c_acctbal as v, c_custkey % 231 as k from customer)"""
 
 
 def text_quantities(spark, sf_dir):
-    t = F.concat(F.lit("annealed for "), F.col("p_size").cast("string"), F.element_at(F.array(F.lit(" min"), F.lit(" h"), F.lit(" sec")), (F.col("p_partkey") % 3 + 1).cast("int")), F.lit(" at "), F.col("p_size").cast("string"), F.lit(" mtorr"))
-    return read(spark, sf_dir, "part").select("p_partkey", science.seconds_in(t).alias("seconds"), F.round(science.pascals_in(t), 6).alias("pascals"))
+    t = F.concat(F.lit("annealed for "), F.col("p_size").cast("string"), F.element_at(F.array(F.lit(" min"), F.lit(" h"), F.lit(" seconds")), (F.col("p_partkey") % 3 + 1).cast("int")), F.lit(" at "), F.col("p_size").cast("string"), F.lit(" torr, strain -0."), F.col("p_size").cast("string"), F.lit(" %, vacancies "), F.col("p_size").cast("string"), F.lit(" cm-3"))
+    return read(spark, sf_dir, "part").select("p_partkey", science.seconds_in(t).alias("seconds"), F.round(science.pascals_in(t), 4).alias("pascals"), science.strain_in(t).alias("strain"), science.vacancies_in(t).alias("vacancies"))
+
+
+QUANT_SQL = "select p_partkey, p_size * [60.0, 3600.0, 1.0][p_partkey % 3 + 1]::double as seconds, round(p_size * 133.322::double, 4) as pascals, ('-0.' || p_size)::double as strain, p_size::double as vacancies from part"
+
+
+def snippet_labels(spark, sf_dir):
+    words = F.array(*[F.lit(w) for w in ("sputtered smooth layer", "ALD, rough surface", "chemical vapor, epitaxial", "rapid thermal step", "plain text")])
+    t = F.get(words, (F.col("p_partkey") % 5).cast("int"))
+    return read(spark, sf_dir, "part").groupBy(science.quality_label(t).alias("quality"), science.method_family(t).alias("method")).agg(F.count(F.lit(1)).alias("n"))
 
 
-QUANT_SQL = "select p_partkey, p_size * [60.0, 3600.0, 1.0][p_partkey % 3 + 1]::double as seconds, round(p_size * 0.133322::double, 6) as pascals from part"
+LABELS_SQL = "select ['uniform', 'degraded', 'high_crystallinity', 'unknown', 'unknown'][p_partkey % 5 + 1] as quality, ['PVD', 'ALD', 'CVD', 'ANNEAL', ''][p_partkey % 5 + 1] as method, count(*) as n from part group by all"
 
 
 def label_mode(spark, sf_dir):
@@ -300,13 +314,13 @@ def pair_completeness(spark, sf_dir):
 
 def source_agreement(spark, sf_dir):
     """Pairs of sources of one item: how many agree within tolerance. Per item the sources' means are few; their pairs are made inside the item's array."""
-    per = lines(spark, sf_dir).where("l_partkey % 5 = 0").groupBy("l_partkey", "l_suppkey").agg(F.avg("l_quantity").alias("q"))
+    per = lines(spark, sf_dir).groupBy("l_partkey", "l_suppkey").agg(F.avg("l_quantity").alias("q"))
     item = per.groupBy("l_partkey").agg(F.sort_array(F.collect_list("q")).alias("qs")).where(F.size("qs") >= 2)
     agree = F.aggregate(F.transform("qs", lambda a, i: F.size(F.filter(F.slice(F.col("qs"), i + 2, F.size("qs")), lambda b: F.abs(a - b) <= 10))), F.lit(0), lambda s, x: s + x)
     return item.select("l_partkey", (F.size("qs") * (F.size("qs") - 1) / 2).cast("long").alias("pairs"), agree.cast("long").alias("agreeing"))
 
 
-AGREE_SQL = """with p as (select l_partkey, l_suppkey, avg(l_quantity) as q from lineitem where l_partkey % 5 = 0 group by all)
+AGREE_SQL = """with p as (select l_partkey, l_suppkey, avg(l_quantity) as q from lineitem group by all)
 select a.l_partkey, count(*) as pairs, count(*) filter (abs(a.q - b.q) <= 10) as agreeing from p a join p b on a.l_partkey = b.l_partkey and a.l_suppkey < b.l_suppkey group by 1"""
 
 
@@ -367,7 +381,8 @@ def grouping_sets(spark, sf_dir):
 
 
 def approx_distinct(spark, sf_dir):
-    return lines(spark, sf_dir).agg((F.abs(F.approx_count_distinct("l_partkey", 0.02) / F.countDistinct("l_partkey") - 1) < 0.1).alias("close"))
+    """Distinct parts of each flag by a sketch, rounded to what the sketch can tell: the bit length of the number."""
+    return lines(spark, sf_dir).groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey", 0.01).alias("n")).select("l_returnflag", F.round(F.log2("n"), 0).alias("log2_parts"))
 
 
 REGISTRY = {
@@ -381,7 +396,7 @@ REGISTRY = {
     "nearest_gold": (nearest_gold, NEAREST_SQL),
     "cross_models": (cross_models, "select r_name, n_name from region, nation"),
     "cooccurrence_pairs": (cooccurrence_pairs, COOC_SQL),
-    "cross_source_support": (cross_source_support, "select l_partkey, round(least(1.0, count(distinct l_suppkey) / 3), 6)::double as support from lineitem where l_tax = 0 group by 1"),
+    "cross_source_support": (cross_source_support, "select l_partkey, round(least(1.0, count(distinct l_suppkey) / 3), 6)::double as support from lineitem group by 1"),
     "frequency_features": (frequency_features, FREQ_SQL),
     "bridge_weight": (bridge_weight, BRIDGE + " select t as concept_type, round(w, 9) >= 0.69 as kept, count(*) as n, round(avg(w), 6) as mean_weight from b group by all"),
     "bridge_stats": (bridge_stats, BRIDGE + " select id as source_point_id, count(*) as n_bridges, round(avg(w) + 1e-9, 5) as mean_weight, round(max(w), 6) as max_weight, round(count(distinct t) / 7, 6) as coverage from b where round(w, 9) >= 0.69 group by 1"),
@@ -389,7 +404,7 @@ REGISTRY = {
     "graph_edges": (graph_edges, EDGES_SQL),
     "graph_audit": (graph_audit, AUDIT_SQL),
     "phase_signature": (phase_signature, """select min(p_partkey) as p_partkey, sha1('{"brand": "' || p_brand || '", "size": ' || p_size || ', "type": "' || p_type || '"}') as signature from part group by 2"""),
-    "fingerprint": (fingerprint, "select p_brand, sha1(string_agg(h, chr(10) order by h)) as fingerprint from (select p_brand, sha1(p_partkey || '|' || p_name || '|' || p_size) as h from part) group by 1"),
+    "fingerprint": (fingerprint, "select p_brand, sha1(count(*) || '|' || sum(('0x' || substr(h, 1, 15))::hugeint) || '|' || sum(('0x' || substr(h, 16, 15))::hugeint)) as fingerprint from (select p_brand, sha1(p_partkey || '|' || p_name || '|' || p_size) as h from part) group by 1"),
     "formula_components": (formula_components, FORMULA_SQL),
     "reference_scores": (reference_scores, REFS_SQL),
     "lag_transitions": (lag_transitions, LAG_SQL),
@@ -397,10 +412,15 @@ REGISTRY = {
     "recipe_scores": (recipe_scores, f"with {CAND} select p_partkey, round(evidence + 1e-9, 5) as evidence, round(uncertainty + 1e-9, 5) as uncertainty, round(weighted + 1e-9, 5) as weighted from c2"),
     "recipe_rank": (recipe_rank, f"with {CAND} select p_partkey, round(weighted + 1e-9, 5) as weighted from c5 where strict order by round(weighted, 6) desc, round(target, 6) desc, round(evidence, 6) desc, round(repro, 6) desc, p_partkey limit 10"),
     "progressive_gate": (progressive_gate, f"with {CAND} select case when strict then 'strict' when balanced then 'balanced' when loose then 'loose' else 'none' end as gate, count(*) as n from c5 group by 1"),
-    "gate_audit": (gate_audit, f"with {CAND}, s as (select unnest(case when balanced then ['loose', 'balanced', 'strict'] when loose then ['loose', 'balanced'] else ['loose'] end) as stage from c5) select stage, count(*) as n from s group by 1"),
+    "gate_audit": (gate_audit, f"""with {CAND}, u as (select *, round(evidence, 9) as e, round(repro, 9) as rp, round(coalesce(nullif(uncertainty, 0), 1), 9) as un from c5),
+        s as (select 'loose' as stage, concat_ws(';', case when e < 0.35 then 'low_evidence_support' end, case when un > 0.45 then 'high_uncertainty' end) as reason from u union all
+        select 'balanced', concat_ws(';', case when e < 0.55 then 'low_evidence_support' end, case when rp < 0.50 then 'low_reproducibility' end, case when un > 0.35 then 'high_uncertainty' end) from u where loose union all
+        select 'strict', concat_ws(';', case when e < 0.70 then 'low_evidence_support' end, case when rp < 0.65 then 'low_reproducibility' end, case when un > 0.25 then 'high_uncertainty' end) from u where balanced)
+        select stage, reason = '' as passed, reason, count(*) as n from s group by all"""),
     "safety_filter": (safety_filter, SAFETY_SQL),
     "bucketers": (bucketers, BUCKET_SQL),
     "text_quantities": (text_quantities, QUANT_SQL),
+    "snippet_labels": (snippet_labels, LABELS_SQL),
     "label_mode": (label_mode, "with c as (select vec_id % 7 as bucket, label, count(*) as n from embeddings group by all) select bucket, arg_min(label, row(-n, label)) as mode_label from c group by 1"),
     "pair_completeness": (pair_completeness, "with p as (select l_orderkey, max((l_returnflag = 'A')::int) * max((l_returnflag = 'N')::int) as ok from lineitem group by 1) select count(*) as points, round(avg(ok), 6) as pair_completeness from p"),
     "source_agreement": (source_agreement, AGREE_SQL),
@@ -414,5 +434,5 @@ REGISTRY = {
     "rollup": (grouped("rollup"), "select l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as quantity from lineitem group by rollup (l_returnflag, l_linestatus)"),
     "cube": (grouped("cube"), "select l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as quantity from lineitem group by cube (l_returnflag, l_linestatus)"),
     "grouping_sets": (grouping_sets, "select l_returnflag, l_linestatus, count(*) as n from lineitem group by grouping sets ((l_returnflag), (l_linestatus), ())"),
-    "approx_distinct": (approx_distinct, "select true as close"),
+    "approx_distinct": (approx_distinct, "select l_returnflag, round(log2(count(distinct l_partkey)), 0) as log2_parts from lineitem group by 1"),
 }

@@ -30,7 +30,7 @@ def stream_sliding(spark, sf_dir):
 
 
 def stream_session(spark, sf_dir):
-    out = ops.drain(ops.sessions(stream(spark, sf_dir).where("user_id < 20"), "6 hours"), name("session"), "complete")
+    out = ops.drain(ops.sessions(stream(spark, sf_dir), "6 hours"), name("session"), "complete")
     return out.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("n"))
 
 
@@ -47,7 +47,7 @@ def stream_stateful_saturation(spark, sf_dir):
 REGISTRY = {
     "stream_tumbling": (stream_tumbling, "select date_trunc('day', ts)::timestamp as window_start, event_type, count(*) as n, round(sum(value), 2) as total from events group by all"),
     "stream_sliding": (stream_sliding, "with w as (select unnest([date_trunc('day', ts)::timestamp, date_trunc('day', ts)::timestamp - interval 1 day]) as window_start, value from events) select window_start, count(*) as n, max(value) as high from w group by 1"),
-    "stream_session": (stream_session, "with l as (select user_id, ts, lag(ts) over (partition by user_id order by ts) as p from events where user_id < 20) select user_id, count(*) filter (p is null or ts - p >= interval 6 hours) as sessions, count(*) as n from l group by 1"),
+    "stream_session": (stream_session, "with l as (select user_id, ts, lag(ts) over (partition by user_id order by ts) as p from events) select user_id, count(*) filter (p is null or ts - p >= interval 6 hours) as sessions, count(*) as n from l group by 1"),
     "stream_dedupe_watermark": (stream_dedupe_watermark, "select event_id from events"),
     "stream_stateful_saturation": (stream_stateful_saturation, "select event_type, count(*) as n, round(avg(value), 4) as mean, avg(value) < 10 as saturated from events group by 1"),
 }

@@ -41,8 +41,8 @@ def articles(raw: DataFrame, provider: str, json: str = "raw_json", oa_required:
         urls = c("r.fullTextUrlList.fullTextUrl")
         cols = dict(source_id=c("r.id"), doi=c("r.doi"), title=c("r.title"), abstract=strip_html(c("r.abstractText")), year=c("r.pubYear").try_cast("int"), venue=c("r.journalTitle"), article_type=F.lit("journal-article"), is_oa=c("r.isOpenAccess") == "Y", oa_url=F.coalesce(F.get(F.filter(urls, lambda u: u["documentStyle"] == "pdf"), F.lit(0)), F.get(urls, F.lit(0)))["url"], source_url=F.concat(F.lit("https://europepmc.org/article/MED/"), c("r.id")), license=c("r.license"), language=c("r.language"))
     else:
-        pdf = F.get(F.filter(c("r.link"), lambda x: x["_type"] == "application/pdf"), F.lit(0))["_href"]
-        cols = dict(source_id=c("r.id"), doi=c("r.doi"), title=F.trim(F.regexp_replace(c("r.title"), r"\s+", " ")), abstract=F.trim(F.regexp_replace(c("r.summary"), r"\s+", " ")), year=F.substring(c("r.published"), 1, 4).try_cast("int"), venue=F.lit("arXiv"), article_type=F.lit("preprint"), is_oa=F.lit(True), oa_url=F.coalesce(pdf, c("r.id")), source_url=c("r.id"), license=none, language=F.lit("en"))
+        link = F.coalesce(F.get(F.filter(c("r.link"), lambda x: x["_type"] == "application/pdf"), F.lit(0)), F.get(c("r.link"), F.lit(0)))["_href"]
+        cols = dict(source_id=c("r.id"), doi=c("r.doi"), title=F.trim(F.regexp_replace(c("r.title"), r"\s+", " ")), abstract=F.trim(F.regexp_replace(c("r.summary"), r"\s+", " ")), year=F.substring(c("r.published"), 1, 4).try_cast("int"), venue=F.lit("arXiv"), article_type=F.lit("preprint"), is_oa=F.lit(True), oa_url=F.coalesce(link, c("r.id")), source_url=c("r.id"), license=none, language=F.lit("en"))
     text = {k: blank(v) for k, v in cols.items() if k not in ("year", "is_oa")}
     out = r.select(F.lit(provider).alias("provider"), *[(text.get(k) if k in text else v).alias(k) for k, v in cols.items()], "raw_json").withColumn("is_oa", F.coalesce("is_oa", F.lit(False)))
     out = out.withColumn("article_key", article_key(c("doi"), c("source_id"), c("title"))).withColumn("language", language(c("language")))
@@ -50,6 +50,33 @@ def articles(raw: DataFrame, provider: str, json: str = "raw_json", oa_required:
     return out.where("is_oa and oa_url <> ''") if oa_required else out
 
 
+ATOM, ARXIV = "{http://www.w3.org/2005/Atom}", "{http://arxiv.org/schemas/atom}"
+
+
+def atom_records(feed: str) -> list[str]:
+    """The entries of an Atom feed as JSON records of the provider arxiv; of links those with a relation `alternate`, or none, count."""
+    import json
+    from xml.etree import ElementTree
+
+    out = []
+    for entry in ElementTree.fromstring(feed).findall(f"{ATOM}entry"):
+        text = lambda tag: (entry.findtext(tag) or "").strip()  # noqa: E731,B023
+        links = [{"_href": (n.get("href") or "").strip(), "_rel": (n.get("rel") or "").strip(), "_type": (n.get("type") or "").strip()} for n in entry.findall(f"{ATOM}link")]
+        out.append(json.dumps({"id": text(f"{ATOM}id"), "title": text(f"{ATOM}title"), "summary": text(f"{ATOM}summary"), "published": text(f"{ATOM}published"), "doi": text(f"{ARXIV}doi").lower(), "link": [x for x in links if x["_href"] and x["_rel"] in ("", "alternate")]}))
+    return out
+
+
+def atom_page(feed: str, start: int, size: int) -> tuple[list[str], str | None]:
+    """A page's records and the next page's offset; none after a page that is short."""
+    records = atom_records(feed)
+    return records, str(start + len(records)) if len(records) >= size else None
+
+
+def wrapped_query(provider: str, query: str) -> str:
+    """A query as the provider wants it: of Europe PMC open access is part of it."""
+    return f"({query}) AND OPEN_ACCESS:y" if provider == "europepmc" else query
+
+
 def kind(c: Column) -> Column:
     low = F.lower(blank(c))
     return F.when(low.isin("article", "journal-article"), "journal-article").when(low.isin("posted-content", "preprint"), "preprint").otherwise(low)

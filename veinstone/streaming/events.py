@@ -6,6 +6,7 @@ Every function takes a streaming (or batch) frame with ts, event_type, user_id a
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from veinstone.session import shared_folder
+
 
 def source(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1000) -> DataFrame:
     """A table as a file stream; path is a folder of Parquet files, or one file."""
@@ -62,9 +65,80 @@ def saturation(events: DataFrame) -> DataFrame:
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Runs a stream to the end of what its source holds and returns the rows written."""
+    """Runs a stream to the end of what its source holds; what it wrote as a table in the shared folder.
+
+    Each batch is a folder named by its number, so that a batch that is repeated after a failure
+    replaces itself. In complete mode the last batch is the result.
+    """
     spark = stream.sparkSession
-    writer = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True)
-    query = (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
-    query.awaitTermination()
-    return spark.table(name)
+    path, ids = shared_folder(spark, name), []
+
+    def write(batch: DataFrame, k: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={k}")
+        ids.append(k)
+
+    writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).foreachBatch(write).option("checkpointLocation", checkpoint or f"{path}-state")
+    writer.start().awaitTermination()
+    if not ids:
+        return spark.createDataFrame([], stream.schema)
+    if mode == "complete":
+        return spark.read.schema(stream.schema).parquet(f"{path}/batch={max(ids)}")
+    return spark.read.schema(stream.schema).parquet(*[f"{path}/batch={k}" for k in sorted(set(ids))])
+
+
+def cached(requests: DataFrame, key: str, ttl_hours: float, late: str = "1 hour") -> DataFrame:
+    """Requests (key, ts, value) with miss: whether no entry of the key was alive, which then begins one for ttl_hours; entries are state that expires with the watermark."""
+    ttl = int(ttl_hours * 3_600_000)
+
+    def run(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows, until, misses = pd.concat(list(frames)).sort_values("ts"), state.get[0] if state.exists else -1, []
+        for ms in (t.value // 1_000_000 for t in rows["ts"]):
+            misses.append(ms >= until)
+            until = ms + ttl if misses[-1] else until
+        state.update((until,))
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"key": k[0], "ts": rows["ts"], "value": rows["value"], "miss": misses})
+
+    keyed = requests.withWatermark("ts", late).select(F.col(key).cast("string").alias("key"), "ts", "value").groupBy("key")
+    return keyed.applyInPandasWithState(run, "key string, ts timestamp, value double, miss boolean", "until long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def cursors(spark: SparkSession, path: str) -> dict[tuple[str, str], str | None]:
+    """The next token of each (provider, query) of an earlier run; empty where there is none."""
+    if not _exists(spark, path):
+        return {}
+    rows = spark.read.parquet(path).groupBy("provider", "query").agg(F.max_by("next_token", "page_index").alias("t")).collect()  # a row a provider and query
+    return {(r["provider"], r["query"]): r["t"] for r in rows}
+
+
+def save_cursors(spark: SparkSession, path: str, pages: list[tuple[str, str, int, str | None]]) -> None:
+    """Adds (provider, query, page_index, next_token) of pages that are done."""
+    spark.createDataFrame(pages, "provider string, query string, page_index int, next_token string").coalesce(1).write.mode("append").parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def job_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Job requests that are dropped into a folder as JSON files (job_type, payload), as a stream."""
+    return spark.readStream.schema("job_type string, payload string").json(folder)
+
+
+def serve(requests: DataFrame, jobs, handlers: dict, checkpoint: str) -> int:
+    """Submits what a stream of requests holds by now and works it off; each request once, by the checkpoint. Returns the number of jobs done."""
+    done = 0
+
+    def run(batch: DataFrame, _: int) -> None:
+        nonlocal done
+        for r in batch.collect():  # requests of people, a few a batch
+            jobs.submit(r["job_type"], json.loads(r["payload"] or "{}"))
+        while jobs.work(handlers):
+            done += 1
+
+    requests.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return done
