@@ -97,4 +97,5 @@ def points(reply: Column) -> Column:
     pick = lambda m, names: F.coalesce(*[F.nullif(F.trim(m[n]), F.lit("")) for n in names])
     made = F.transform(found, lambda m: F.struct(pick(m, FIELDS["entity"]).alias("entity"), pick(m, FIELDS["x"]).try_cast("double").alias("x"), pick(m, FIELDS["y"]).try_cast("double").alias("y"), blank(pick(m, FIELDS["snippet"])).alias("snippet"), blank(pick(m, FIELDS["locator"])).alias("locator"), F.coalesce(m["confidence"].try_cast("double"), F.lit(0.75)).alias("confidence")))
     whole = F.filter(made, lambda p: p["entity"].isNotNull() & p["x"].isNotNull() & p["y"].isNotNull())
+    whole = F.when(F.coalesce(wrapped["points"], wrapped["data"], listed, one).isNull(), F.slice(whole, 1, 1)).otherwise(whole)
     return F.coalesce(whole, F.array().cast("array<struct<entity: string, x: double, y: double, snippet: string, locator: string, confidence: double>>"))

@@ -8,15 +8,20 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veinstone.functions.science import clamp
 
 
+def place(group: Column, seed: int = 0) -> Column:
+    """A group's number from 0 to 99, from its MD5, so that any engine finds the same."""
+    return (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(group.cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("long") % 100).cast("int")
+
+
 def split(rows: DataFrame, group: str, share: int = 80, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """Training and test rows by a hash of their group, so that no group is in both; all rows twice if one side were empty."""
-    at = F.pmod(F.xxhash64(F.lit(seed), F.col(group)), F.lit(100))
+    at = place(F.col(group), seed)
     train, test = rows.where(at < share), rows.where(at >= share)
     return (rows, rows) if train.isEmpty() or test.isEmpty() else (train, test)
 

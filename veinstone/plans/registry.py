@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("evidence", "discovery", "relations", "texts", "learning", "materials", "streams")
+MODULES = ("evidence", "discovery", "relations", "texts", "learning", "materials", "dual", "streams")
 
 
 def _all() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:

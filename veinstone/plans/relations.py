@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from veinstone.functions import science
-from veinstone.operators import evidence, graphs, joins, recipes
+from veinstone.operators import evidence, graphs, joins, models, recipes
 from veinstone.plans.evidence import KEY, lines, point_key, read
 
 
@@ -352,8 +352,8 @@ DRIFT_SQL = "with c as (select o_orderpriority, count(*) filter (year(o_orderdat
 
 
 def hash_split(spark, sf_dir):
-    split = F.when(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(100)) < 80, "train").otherwise("test")
-    return read(spark, sf_dir, "documents").select("doc_id", split.alias("split"))
+    train, test = models.split(read(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    return train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test")))
 
 
 def oversample(spark, sf_dir):
@@ -427,7 +427,7 @@ REGISTRY = {
     "quality_gates": (quality_gates, GATES_SQL),
     "link_diff": (link_diff, LINK_SQL),
     "drift_compare": (drift_compare, DRIFT_SQL),
-    "hash_split": (hash_split, None),
+    "hash_split": (hash_split, "select doc_id, case when ('0x' || substr(md5('0:' || doc_id), 1, 8))::bigint % 100 < 80 then 'train' else 'test' end as split from documents"),
     "oversample": (oversample, "select p_brand, count(*) + 2 * count(*) filter (p_size > 40) as n from part group by 1"),
     "numeric_means": (numeric_means, "select l_orderkey, round(avg(l_quantity) + 1e-9, 5) as quantity, count(distinct l_returnflag) as n_flags from lineitem group by 1"),
     "value_counts": (value_counts, "select source, count(*) as n from documents group by 1"),
