@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veinstone.functions.science import clamp, jitter
 from veinstone.functions.text import blank
 from veinstone.operators.evidence import keep_one
+from veinstone.session import stored
 
 #: Fixed values: (gate, least evidence, least reproducibility, most uncertainty), from loose to strict.
 GATES = (("loose", 0.35, None, 0.45), ("balanced", 0.55, 0.50, 0.35), ("strict", 0.70, 0.65, 0.25))
@@ -148,7 +149,7 @@ def generate(events: DataFrame, request: dict, rules: list[tuple[str, Column]],
     """(ranked, all candidates): attempts until one has a candidate that is safe and passes the strict gate, which are ranked then; none otherwise."""
     made = []
     for attempt in range(retries + 1):
-        made.append(candidates(events, request, attempt))
+        made.append(stored(candidates(events, request, attempt), "candidates"))
         strict = progressive(safety(made[-1], rules).where("safe")).where("gate = 'strict'")
         if not strict.isEmpty():
             break
