@@ -158,7 +158,7 @@ def test_chunks_overlap(spark):
     assert [c for k, c, _ in got if k == 1] == ["a b c d e", "f g h i"] and all(n <= 5 for *_, n in got) and len([1 for k, *_ in got if k == 3]) == 3
 
 
-def test_greedy_match_against_loop(spark):
+def test_greedy_match_against_loop(spark, monkeypatch):
     preds = [(f"p{i:02}", "ab"[i % 2], float(i % 7), float(i % 5)) for i in range(40)]
     golds = [(i, "ab"[i % 2], float(i % 6), float(i % 4)) for i in range(15)]
     used, want = set(), []
@@ -167,8 +167,10 @@ def test_greedy_match_against_loop(spark):
         if hit is not None:
             used.add(hit)
             want.append((k, hit))
-    got = joins.greedy_match(spark.createDataFrame(preds, "k string, e string, x double, y double"), spark.createDataFrame(golds, "gold_id long, e string, x double, y double"), "e", "x", "y", 1.0, 1.0, "k")
-    assert sorted(map(tuple, got.collect())) == sorted(want)
+    for together in (joins.TOGETHER, 0):  # one by one, and by rounds
+        monkeypatch.setattr(joins, "TOGETHER", together)
+        got = joins.greedy_match(spark.createDataFrame(preds, "k string, e string, x double, y double"), spark.createDataFrame(golds, "gold_id long, e string, x double, y double"), "e", "x", "y", 1.0, 1.0, "k")
+        assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
 def test_nearest_against_loop(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,16 +17,39 @@ def band_candidates(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: st
     return joined.where((F.abs(F.col(x) - F.col("gold_x")) <= tol_x) & (F.abs(F.col(y) - F.col("gold_y")) <= tol_y)).drop("_cell", "_gcell", "_entity")
 
 
+#: Pairs that are matched one by one in a task per entity; more go by rounds, with the same result.
+TOGETHER = 1_000_000
+
+
 def greedy_match(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float, order: str) -> DataFrame:
     """Predictions by order each take their first free gold row (by gold_id) within tolerance: order and gold_id of each match.
 
-    By rounds instead of one by one: every prediction asks its first gold row, every gold row holds
-    the earliest that asked, and pairs that this rules out (a gold row's later predictions) go. A
-    gold row only ever changes to an earlier prediction, so nothing that goes could come back, and
-    what is left when no pair goes is the sequential result. No group meets in one task.
+    A prediction that passes a free gold row by takes another one near it, so a gold row goes to one
+    of its first D predictions, D the gold rows of its entity within twice the tolerances: later
+    pairs are left out. What remains is matched one by one if it is at most TOGETHER pairs, else by
+    rounds: every prediction asks its first gold row, every gold row holds the earliest that asked,
+    and pairs that this rules out (a gold row's later predictions) go. A gold row only ever changes
+    to an earlier prediction, so what is left when no pair goes is the sequential result.
     """
-    pairs = stored(band_candidates(pred, gold, entity, x, y, tol_x, tol_y).select(order, "gold_id").distinct(), "pairs")
-    n = pairs.count()
+    near = band_candidates(gold.select(entity, x, y, F.col("gold_id").alias("gold_of")), gold, entity, x, y, 2 * tol_x, 2 * tol_y)
+    depth = near.groupBy("gold_of").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    first = Window.partitionBy("gold_id").orderBy(order)
+    pairs = band_candidates(pred, gold, entity, x, y, tol_x, tol_y).select(F.col(entity).alias("_e"), order, "gold_id").distinct().withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= depth)
+    pairs = stored(pairs.select("_e", order, "gold_id"), "pairs")
+    n, kind = pairs.count(), pred.schema[order].dataType.simpleString()
+    if n <= TOGETHER:
+
+        def run(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values([order, "gold_id"])
+            used, done, out = set(), set(), []
+            for o, g in zip(part[order], part["gold_id"]):
+                if o not in done and g not in used:
+                    done.add(o)
+                    used.add(g)
+                    out.append((o, g))
+            return pd.DataFrame(out, columns=[order, "gold_id"])
+
+        return pairs.groupBy("_e").applyInPandas(run, f"{order} {kind}, gold_id long")
     while True:
         asked = pairs.groupBy(order).agg(F.min("gold_id").alias("gold_id"))
         held = asked.groupBy("gold_id").agg(F.min(order).alias("_holder"))
