@@ -339,3 +339,22 @@ def test_tabular_head_predicts_its_whole_test_side(spark):
     test = models.split(spark.read.parquet(f"{sf}/lineitem.parquet"), "l_orderkey")[1]
     key = lambda df: {tuple(r) for r in df.select("l_orderkey", "l_linenumber").collect()}
     assert key(learning.tabular_head(spark, sf)) == key(test)
+
+
+def test_first_rows_of_large_limits(spark, monkeypatch):
+    """A limit above what memory is reserved for gives the same rows in the same order, and no plan keeps them in a queue."""
+    from veinstone.operators import recipes
+
+    monkeypatch.setattr(recipes, "IN_MEMORY", 5)
+    rows = spark.range(0, 1000, 1, 7).select("id", (F.col("id") * 37 % 11).alias("v"))
+    want = [r["id"] for r in rows.orderBy(F.desc("v"), "id").collect()]
+    for most in (0, 3, 6, 333, 999, 1000, 10**9):
+        got = recipes.first_rows(rows, most, [F.desc("v"), "id"])
+        assert [r["id"] for r in got.collect()] == want[:most]
+    assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recipe_candidates_reserve_no_memory(spark):
+    from veinstone.plans import dual
+
+    assert "TakeOrdered" not in dual.recipe_candidates(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

@@ -91,10 +91,36 @@ def precursor_of(method: Column, named: list[str] | None = None) -> Column:
     return reduce(lambda w, kv: w.when(F.upper(method) == kv[0], F.lit(kv[1])), PRECURSORS.items(), F.when(F.lit(False), F.lit(""))).otherwise("sputter target")
 
 
+#: Rows that a limit keeps in each task's memory; more are cut out of a sort.
+IN_MEMORY = 10_000
+
+
+def first_rows(rows: DataFrame, most: int, order: list[Column | str]) -> DataFrame:
+    """The first `most` rows by order, which must tell all rows apart.
+
+    Spark's own limit after a sort reserves memory for `most` rows in every task, so above IN_MEMORY
+    rows are only sorted if there are no more of them; else the sorted ranges are stored and each
+    gives as many rows as those before it leave.
+    """
+    if most <= IN_MEMORY:
+        return rows.orderBy(*order).limit(most)
+    if rows.count() <= most:
+        return rows.orderBy(*order)
+    ranges = stored(rows.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    part, at = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    before, last = 0, None
+    for r in ranges.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():  # a row per range
+        if before + r["n"] > most:
+            last = (r["part"], most - before)
+            break
+        before += r["n"]
+    return ranges.where((part < last[0]) | (part == last[0]) & (at < last[1])).orderBy("_at").drop("_at")
+
+
 def pool(events: DataFrame, matches: Column, most: int, n_methods: int, attempt: int, tie: str) -> DataFrame:
     """The events that candidates are made of: on the first attempt those that match, if any do; the best by quality, as many as the request's candidates leave to each method, 20 at least."""
     own = events.where(matches) if attempt == 0 and not events.where(matches).isEmpty() else events
-    return own.orderBy(F.desc(F.coalesce("film_quality_score_numeric", F.lit(0.0))), F.asc(blank(F.col("phase_label"))), tie).limit(max(20, most // max(n_methods, 1)))
+    return first_rows(own, max(20, most // max(n_methods, 1)), [F.desc(F.coalesce("film_quality_score_numeric", F.lit(0.0))), F.asc(blank(F.col("phase_label"))), tie])
 
 
 def reference_signal(evidence: Column, reproducibility: Column, label: Column, score: Column) -> tuple[Column, Column]:
@@ -137,7 +163,7 @@ def candidates(events: DataFrame, request: dict, attempt: int = 0, seed: int = 1
     digits = lambda c: F.format_string("%.3f", F.col(c))
     parts = F.concat_ws("|", F.col(tie).cast("string"), F.upper("method"), digits("thickness_nm"), digits("anneal_temperature_c"), digits("anneal_time_s"), F.lit(str(attempt)))
     made = out.withColumns({"recipe_id": F.concat(F.lit("rcp_"), F.substring(F.sha1(parts.cast("binary")), 1, 14)), "method_family": F.upper("method"), "attempt": F.lit(attempt), "target_satisfaction": clamp(F.col("target_satisfaction"))})
-    return made.drop("_fits", "method").orderBy(F.desc(F.coalesce("film_quality_score_numeric", F.lit(0.0))), blank(F.col("phase_label")), tie, "method_family").limit(most)
+    return first_rows(made.drop("_fits", "method"), most, [F.desc(F.coalesce("film_quality_score_numeric", F.lit(0.0))), blank(F.col("phase_label")), tie, "method_family"])
 
 
 def attempts_union(attempts: list[DataFrame], key: str = "recipe_id", order: str = "attempt") -> DataFrame:
