@@ -358,3 +358,9 @@ def test_recipe_candidates_reserve_no_memory(spark):
     from veinstone.plans import dual
 
     assert "TakeOrdered" not in dual.recipe_candidates(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recipe_blend_reserves_no_memory(spark):
+    from veinstone.plans import dual
+
+    assert "TakeOrdered" not in dual.recipe_blend(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
