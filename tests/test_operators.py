@@ -364,3 +364,13 @@ def test_recipe_blend_reserves_no_memory(spark):
     from veinstone.plans import dual
 
     assert "TakeOrdered" not in dual.recipe_blend(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recipe_attempts_reserve_no_memory(spark, monkeypatch):
+    """Every attempt of generate is written by a plan without a queue of the request's size."""
+    from veinstone.plans import dual
+
+    plans, store = [], recipes.stored
+    monkeypatch.setattr(recipes, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or store(df, name))
+    assert dual.recipe_cards(spark, "/root/testdata/sf0.001").count() > 0
+    assert plans and not any("TakeOrdered" in p for p in plans)
