@@ -531,6 +531,20 @@ def test_lm_score_brute_force(spark, rows):
         assert got[k] == pytest.approx(want, rel=1e-6), k
 
 
+def test_lm_weight_is_chosen_on_all_training_texts(spark):
+    """Of many chunks, most repeat one text and the longer rest never does: the weight is that of all of them."""
+    import random
+
+    some = random.Random(5)
+    word = lambda: "".join(some.choice("abcdefghij") for _ in range(3))
+    texts = ["a cat sat on the mat again"] * 14 + [" ".join(word() for _ in range(400)) for _ in range(2)]
+    rows = [(k, t, True) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string, train boolean")
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, docs["train"]).collect()}
+    for k, want in enumerate(brute_scores(texts, [True] * len(texts))):
+        assert got[k] == pytest.approx(want, rel=1e-6), k
+
+
 def test_lm_filters_hold_pairs_in_shards():
     """Levels of packed keys come back in the keys' order from any number of shards, at one error rate."""
     rng = np.random.default_rng(3)

@@ -20,9 +20,9 @@ q = 1 + floor(log_B count) and held in Bloom filters as pairs (n-gram, 1) to (n-
 probes levels until one is missing and takes the mean of the counts of the level reached. An n-gram's
 count is taken as no greater than its parts', since it cannot be more frequent.
 
-mu is that of MUS under which the training tokens of at most TUNED chunks, each with its own
+mu is that of MUS under which all training tokens, each with its own
 occurrence taken out of the counts, are the most probable: how much word pairs say is measured, not
-assumed. The chunks are picked by a hash; all else is counted over all training texts.
+assumed. Every text is scored by all of MUS in the one pass that reads its pairs.
 
 The filters are split by ranges of the n-grams' keys (48 bits of their hash) into as many shards as
 the input needs for at most SHARD keys in each. A shard's filter has BITS_PER_ENTRY bits for each
@@ -65,8 +65,6 @@ HASHES = 4
 BITS_PER_ENTRY = 10
 #: Weights of P_1 in P_2, in counts, of which one is chosen; the first without training tokens.
 MUS = (4.0, 1.0, 16.0, 64.0, 256.0, 1024.0, 4096.0, 16384.0)
-#: Chunks of texts on which it is.
-TUNED = 2
 #: Tasks that the chunks are dealt to at most; one may take several chunks, one after another.
 WIDEST = 20_000
 #: The most keys of one shard, were all of the input's n-grams different.
@@ -388,9 +386,9 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         p1[tiny] = p[tiny] + math.log10(max(1 - ends, 1e-300)) + (math.log10(v / (n + v)) if n else 0)
         return p1
 
-    def two(count: np.ndarray, context: np.ndarray, p1: np.ndarray, mu: float) -> np.ndarray:
-        """log10 of (count + mu P_1) / (context + mu); mu P_1 alone where the pair is unseen, which keeps small values."""
-        return np.where(count > 0, np.log10(count + mu * 10.0**p1, where=count > 0, out=np.zeros(len(p1))), p1 + math.log10(mu)) - np.log10(context + mu)
+    def two(count: np.ndarray, context: np.ndarray, p1: np.ndarray, plain: np.ndarray, mu: float) -> np.ndarray:
+        """log10 of (count + mu P_1) / (context + mu), of log10 P_1 and P_1; mu P_1 alone where the pair is unseen, which keeps small values."""
+        return np.where(count > 0, np.log10(count + mu * plain, where=count > 0, out=np.zeros(len(p1))), p1 + math.log10(mu)) - np.log10(context + mu)
 
     def opened(left: pa.Table, right: pa.Table) -> tuple:
         """A chunk's texts, their words' counts c and log10 P, the texts' first tokens, and by block its slice, previous tokens, tokens, and the pairs' counts."""
@@ -424,38 +422,37 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
 
         return left, c, p, tokens, counted_blocks()
 
-    def tune(left: pa.Table, right: pa.Table) -> pa.Table:
-        """For each of MUS the sum of log10 P_2 of the chunk's training tokens, each without its own occurrence."""
+    def total(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A text's measures, its score by each of MUS, and the same sum with each token's own occurrence left out, 0 for held-out texts."""
         left, c, p, tokens, blocks = opened(left, right)
         less = np.maximum(c - 1, 0)
-        p1 = one(less, p, max(n - 1, 1))
+        base, known, p1, without = np.log10((c + 1) / (n + v + 1)), c > 0, one(c, p, n), one(less, p, max(n - 1, 1))
+        plain, plain_without = 10.0**p1, 10.0**without
         train = ~left.column("held_out").to_numpy().astype(bool)
-        sums = np.zeros(len(MUS))
+        n_known, base_score, scores, told = [], [], [[] for _ in MUS], [[] for _ in MUS]
         for block, before, here, count in blocks:
+            starts = tokens[block.start : block.stop] - tokens[block.start]  # every text has its end, so no sum is empty
             use = np.repeat(train[block], np.diff(tokens[block.start : block.stop + 1]))
+            n_known.append(np.add.reduceat(known[here].astype(np.int64), starts))
+            base_score.append(np.add.reduceat(base[here], starts))
+            own, other = (count, c[before], p1[here], plain[here]), (np.maximum(count - 1, 0)[use], less[before[use]], without[here[use]], plain_without[here[use]])
             for k, mu in enumerate(MUS):
-                sums[k] += two(np.maximum(count[use] - 1, 0), less[before[use]], p1[here[use]], mu).sum()
-        return pa.table({"mu": pa.array(MUS), "total": pa.array(sums)})
-
-    def total(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, c, p, tokens, blocks = opened(left, right)
-        base, known, p1 = np.log10((c + 1) / (n + v + 1)), c > 0, one(c, p, n)
-        n_known, base_score, score_ = [], [], []
-        for block, before, here, count in blocks:
-            own = (tokens[block.start : block.stop + 1] - tokens[block.start]).tolist()
-            for x, out in ((known[here], n_known), (base[here], base_score), (two(count, c[before], p1[here], mu), score_)):
-                out += [x[a:b].sum() for a, b in zip(own[:-1], own[1:])]
+                scores[k].append(np.add.reduceat(two(*own, mu), starts))
+                each = np.zeros(len(use))
+                each[use] = two(*other, mu)
+                told[k].append(np.add.reduceat(each, starts))
+        whole = lambda parts, kind: pa.array(np.concatenate([np.zeros(0), *parts]).astype(kind))
         return pa.table({
-            "key": left.column("key"), "held_out": left.column("held_out"), "n_tokens": pa.array(np.diff(tokens)), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(left), n, np.int64)),
-            "base_score": pa.array(base_score, pa.float64()), "score": pa.array(score_, pa.float64()),
+            "key": left.column("key"), "held_out": left.column("held_out"), "n_tokens": pa.array(np.diff(tokens)), "n_known": whole(n_known, np.int64), "train_tokens": pa.array(np.full(len(left), n, np.int64)),
+            "base_score": whole(base_score, float), **{f"score_{k}": whole(x, float) for k, x in enumerate(scores)}, **{f"told_{k}": whole(x, float) for k, x in enumerate(told)},
         })
 
-    schema = f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    own = "".join(f", {x}_{k} double" for x in ("score", "told") for k in range(len(MUS)))
+    schema = f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double{own}"
     found = levels.select("chunk", F.lit(None).cast(kind).alias("key"), F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("long").alias("n_words"), F.col("levels").alias("places"), "shard", "m")
     both = texts.select("*", F.lit(None).cast("int").alias("shard"), F.lit(None).cast("long").alias("m")).union(found)
-    chosen = levels.select("chunk").distinct()
-    some = [r[0] for r in chosen.orderBy(F.xxhash64("chunk")).limit(TUNED).collect()]
-    tasks = max(1, min(chosen.count(), WIDEST))  # about a chunk a task
-    sums = both.where(F.col("chunk").isin(some)).groupBy("chunk").cogroup(back(words.where(F.col("chunk").isin(some))).groupBy("part")).applyInArrow(tune, "mu double, total double").groupBy("mu").agg(F.sum("total").alias("total")).collect() if some and n else []
-    mu = max(sums, key=lambda r: (r["total"], -r["mu"]))["mu"] if sums else MUS[0]
-    return both.repartition(tasks, "chunk").groupBy("chunk").cogroup(back(words).repartition(tasks, "part").groupBy("part")).applyInArrow(total, schema).withColumnRenamed("key", key)
+    tasks = max(1, min(levels.select("chunk").distinct().count(), WIDEST))  # about a chunk a task
+    every = written(both.repartition(tasks, "chunk").groupBy("chunk").cogroup(back(words).repartition(tasks, "part").groupBy("part")).applyInArrow(total, schema), "scores")
+    sums = every.agg(*[F.sum(f"told_{k}") for k in range(len(MUS))]).first() if n else [None]
+    best = max(range(len(MUS)), key=lambda k: (sums[k], -MUS[k])) if sums[0] is not None else 0
+    return every.select(F.col("key").alias(key), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", F.col(f"score_{best}").alias("score"))
