@@ -374,3 +374,28 @@ def test_recipe_attempts_reserve_no_memory(spark, monkeypatch):
     monkeypatch.setattr(recipes, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or store(df, name))
     assert dual.recipe_cards(spark, "/root/testdata/sf0.001").count() > 0
     assert plans and not any("TakeOrdered" in p for p in plans)
+
+
+def test_greedy_match_in_blocks_trees_and_rounds(spark, monkeypatch):
+    """Blocks by order, without pairs, and rounds over pairs give the sequential result; what has no place matches nothing."""
+    import random
+
+    some = random.Random(3)
+    pred = [(f"k{i:04d}", some.choice("ab"), float(some.randrange(40)), some.randrange(400) / 10) for i in some.sample(range(3, 9000), 1000)] + [("k0000", None, 1.0, 1.0), ("k0001", "a", None, 1.0), ("k0002", "a", 1.0, float("nan"))]
+    gold = [(g, some.choice("ab"), float(some.randrange(40)), some.randrange(400) / 10) for g in range(300)] + [(1000, "a", None, 1.0), (1001, None, 1.0, 1.0)]
+    used, want = set(), set()
+    usable = lambda r: r[1] is not None and r[2] is not None and r[3] == r[3]
+    for k in sorted({p[0] for p in pred}):
+        near = [g[0] for p in pred if p[0] == k and usable(p) for g in gold if usable(g) and g[0] not in used and g[1] == p[1] and abs(g[2] - p[2]) <= 2 and abs(g[3] - p[3]) <= 0.8]
+        if near:
+            used.add(min(near))
+            want.add((k, min(near)))
+    p, g = spark.createDataFrame(pred, "k string, e string, x double, y double"), spark.createDataFrame(gold, "gold_id long, e string, x double, y double")
+    asked = []
+    whole = joins.band_candidates
+    monkeypatch.setattr(joins, "band_candidates", lambda *a: asked.append(1) or whole(*a))
+    for together, pairs in ((10**6, False), (400, False), (150, True)):
+        asked.clear()
+        monkeypatch.setattr(joins, "TOGETHER", together)
+        got = joins.greedy_match(p, g, "e", "x", "y", 2.0, 0.8, "k").collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want) and bool(asked) == pairs

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,13 +20,115 @@ def band_candidates(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: st
     return joined.where((F.abs(F.col(x) - F.col("gold_x")) <= tol_x) & (F.abs(F.col(y) - F.col("gold_y")) <= tol_y)).drop("_cell", "_gcell", "_entity")
 
 
-#: Pairs that are matched one by one in a task per entity; more go by rounds, with the same result.
+#: Rows of either side, or pairs, that are matched one by one in a task per entity; more go by rounds, with the same result.
 TOGETHER = 1_000_000
+#: Keys that are looked at to cut predictions by order.
+CUTS = 10_000
+
+
+def about(rows: DataFrame, others: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float) -> DataFrame:
+    """The rows with others of their entity in their cell or a neighbouring one: all that have any within tolerance, and some more."""
+    cells = {"_cx": F.floor(F.col(x) / tol_x), "_cy": F.floor(F.col(y) / tol_y)}
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    spots = others.select(entity, *[c.alias(n) for n, c in cells.items()]).distinct().withColumn("_s", F.explode(steps))
+    spots = spots.select(entity, (F.col("_cx") + F.col("_s.i")).alias("_cx"), (F.col("_cy") + F.col("_s.j")).alias("_cy")).distinct()
+    return rows.withColumns(cells).join(spots, [entity, "_cx", "_cy"], "left_semi").select(*rows.columns)
+
+
+def taken_in_turn(pred: pd.DataFrame, gold: pd.DataFrame, order: str, x: str, y: str, tol_x: float, tol_y: float) -> pd.DataFrame:
+    """order and gold_id: predictions of one entity by order each take their first free gold row within tolerance. Per x of gold rows a tree of least free ids over their y is asked."""
+    none, trees, at = float("inf"), [], {}
+    for gx, own in gold.groupby("x"):
+        ys, ids = own["y"].to_numpy(), own["gold_id"].tolist()
+        by = np.argsort(ys, kind="stable")
+        values, starts = np.unique(ys[by], return_index=True)
+        n = len(by)
+        tree = [none] * n + [ids[i] for i in by]
+        for i in range(n - 1, 0, -1):
+            tree[i] = min(tree[2 * i], tree[2 * i + 1])
+        for i in range(n, 2 * n):
+            at.setdefault(tree[i], []).append((len(trees), i))
+        trees.append((gx, values, np.append(starts, n), n, tree))
+    every = np.array([t[0] for t in trees])
+    pred = pred.sort_values(order, kind="stable")
+    px, py, keys = pred[x].to_numpy(), pred[y].to_numpy(), pred[order].tolist()
+    # per tree the first and last leaf of each prediction's reach; |y - value| <= tol_y exactly as Spark computes it
+    reach = [[] for _ in keys]
+    for t in np.flatnonzero([bool((np.abs(np.unique(px) - gx) <= tol_x).any()) for gx in every]):
+        gx, values, starts, n, _ = trees[t]
+        rows = np.flatnonzero(np.abs(px - gx) <= tol_x)
+        v = py[rows]
+        low, high = np.searchsorted(values, v - tol_y), np.searchsorted(values, v + tol_y, "right")
+        pick = lambda i: values[np.clip(i, 0, len(values) - 1)]  # noqa: E731,B023
+        low = np.where((low > 0) & (np.abs(v - pick(low - 1)) <= tol_y), low - 1, low)
+        low = np.where((low < len(values)) & (pick(low) < v) & (np.abs(v - pick(low)) > tol_y), low + 1, low)
+        high = np.where((high < len(values)) & (np.abs(v - pick(high)) <= tol_y), high + 1, high)
+        high = np.where((high > 0) & (pick(high - 1) > v) & (np.abs(v - pick(high - 1)) > tol_y), high - 1, high)
+        for r, a, b in zip(rows.tolist(), starts[low].tolist(), starts[high].tolist()):
+            if a < b:
+                reach[r].append((t, a + n, b + n))
+    out, i = [], 0
+    while i < len(keys):
+        best, key = none, keys[i]
+        while i < len(keys) and keys[i] == key:  # rows of one key are one prediction
+            for t, a, b in reach[i]:
+                tree = trees[t][4]
+                while a < b:
+                    if a & 1:
+                        best = min(best, tree[a])
+                        a += 1
+                    if b & 1:
+                        b -= 1
+                        best = min(best, tree[b])
+                    a, b = a >> 1, b >> 1
+            i += 1
+        if best != none:
+            out.append((key, best))
+            for t, leaf in at[best]:
+                tree = trees[t][4]
+                tree[leaf] = none
+                while leaf > 1:
+                    leaf >>= 1
+                    tree[leaf] = min(tree[2 * leaf], tree[2 * leaf + 1])
+    return pd.DataFrame(out, columns=[order, "gold_id"])
 
 
 def greedy_match(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float, order: str) -> DataFrame:
     """Predictions by order each take their first free gold row (by gold_id) within tolerance: order and gold_id of each match.
 
+    Predictions are cut by order into blocks of about TOGETHER rows. A block is matched with the gold
+    rows that are free, which leaves few of them where predictions are, so few later predictions have
+    any about them and the rest is left out. No pairs are made, unless a block or the gold rows about
+    it are more than TOGETHER: these go by `matched_in_rounds`, with the same result.
+    """
+    fine = lambda t: t.where(F.col(x).isNotNull() & ~F.isnan(F.col(x).cast("double")) & F.col(y).isNotNull() & ~F.isnan(F.col(y).cast("double")))
+    where = (entity, x, y, tol_x, tol_y)
+    free = stored(fine(gold).select("gold_id", entity, x, y), "free")
+    rest = stored(about(fine(pred).select(order, entity, x, y), free, *where), "rest")
+    kind, id_kind, found = pred.schema[order].dataType.simpleString(), gold.schema["gold_id"].dataType.simpleString(), []
+    while True:
+        n, block = rest.count(), rest
+        if n > TOGETHER:
+            keys = [r[0] for r in rest.where(F.pmod(F.xxhash64(order), F.lit(max(1, n // CUTS))) == 0).select(order).orderBy(order).collect()]
+            cut = keys[int(len(keys) * 0.9 * TOGETHER / n)] if keys else None
+            block = rest if cut is None else rest.where(F.col(order) <= F.lit(cut))
+        own = stored(about(free, block, *where), "own")
+        if own.count() <= TOGETHER and (n <= TOGETHER or block.count() <= TOGETHER):
+            run = lambda p, g: taken_in_turn(p, g, order, x, y, tol_x, tol_y)
+            golds = own.select(F.col(entity).alias("_entity"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), "gold_id")
+            hits = block.select(order, entity, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).groupBy(entity).cogroup(golds.groupBy("_entity")).applyInPandas(run, f"{order} {kind}, gold_id {id_kind}")
+        else:
+            hits = matched_in_rounds(block, own, *where, order)
+        found.append(stored(hits, "matches"))
+        if n <= TOGETHER or block is rest:
+            return reduce(DataFrame.unionByName, found)
+        free = stored(free.join(found[-1].select("gold_id"), "gold_id", "left_anti"), "free")
+        rest = stored(about(rest.where(F.col(order) > F.lit(cut)), free, *where), "rest")
+
+
+def matched_in_rounds(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float, order: str) -> DataFrame:
+    """greedy_match over pairs.
+
     A prediction that passes a free gold row by takes another one near it, so a gold row goes to one
     of its first D predictions, D the gold rows of its entity within twice the tolerances: later
     pairs are left out. What remains is matched one by one if it is at most TOGETHER pairs, else by
