@@ -399,3 +399,15 @@ def test_greedy_match_in_blocks_trees_and_rounds(spark, monkeypatch):
         monkeypatch.setattr(joins, "TOGETHER", together)
         got = joins.greedy_match(p, g, "e", "x", "y", 2.0, 0.8, "k").collect()
         assert {tuple(r) for r in got} == want and len(got) == len(want) and bool(asked) == pairs
+
+
+def test_places_stand_for_their_rows(spark, monkeypatch):
+    """Rows of one place are joined once: band counts and nearest rows of copies make no pairs of them."""
+    sizes, store = [], joins.stored
+    monkeypatch.setattr(joins, "stored", lambda df, name: (lambda t: sizes.append(t.count()) or t)(store(df, name)))
+    p = spark.range(600).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("a").alias("e"), (F.col("id") % 2 * 50.0).alias("x"), F.lit(1.0).alias("y"))
+    g = spark.range(500).select(F.col("id").alias("gold_id"), F.lit("a").alias("e"), (F.col("id") % 2 * 51.0).alias("x"), F.lit(1.0).alias("y"))
+    assert [tuple(r) for r in joins.band_counts(p, g, "e", "x", "y", 2.0, 8.0, "k").collect()] == [("a", 2 * 300 * 250, 600, 500)]
+    near = joins.nearest(p, g, "x", "y", "k", 4.0).collect()
+    assert len(near) == 600 and {(r["gold_id"], r["distance"]) for r in near} == {(0, 0.0), (1, 1.0)}
+    assert max(sizes) <= 2

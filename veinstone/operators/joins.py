@@ -20,6 +20,25 @@ def band_candidates(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: st
     return joined.where((F.abs(F.col(x) - F.col("gold_x")) <= tol_x) & (F.abs(F.col(y) - F.col("gold_y")) <= tol_y)).drop("_cell", "_gcell", "_entity")
 
 
+def places(rows: DataFrame, entity: str, x: str, y: str) -> DataFrame:
+    """Each place (entity, x, y) once; what has none is within no tolerance."""
+    return rows.select(entity, x, y).where(F.col(entity).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
+
+
+def band_counts(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float, key: str) -> DataFrame:
+    """Per entity the pairs within both tolerances, and the distinct predictions and gold rows in them. Pairs are made of places, which stand for as many rows as lie there."""
+    at = [entity, x, y]
+    p, g = (t.groupBy(*at).agg(F.count(F.lit(1)).alias("_n")) for t in (pred, gold))
+    # the gold place's number of rows goes by the name of its id
+    met = band_candidates(p, g.withColumn("gold_id", F.col("_n")), entity, x, y, tol_x, tol_y)
+    met = stored(met.groupBy(*at).agg(F.sum(F.col("_n") * F.col("gold_id")).alias("n")), "met")
+    back = band_candidates(places(gold, *at), places(pred, *at).withColumn("gold_id", F.lit(0)), entity, x, y, tol_x, tol_y).select(*at).distinct()
+    n = met.groupBy(entity).agg(F.sum("n").alias("n"))
+    n_pred = pred.join(met.select(*at), at, "left_semi").groupBy(entity).agg(F.countDistinct(key).alias("n_pred"))
+    n_gold = gold.join(back, at, "left_semi").groupBy(entity).agg(F.countDistinct("gold_id").alias("n_gold"))
+    return n.join(n_pred, entity).join(n_gold, entity)
+
+
 #: Rows of either side, or pairs, that are matched one by one in a task per entity; more go by rounds, with the same result.
 TOGETHER = 1_000_000
 #: Keys that are looked at to cut predictions by order.
@@ -168,32 +187,34 @@ def matched_in_rounds(pred: DataFrame, gold: DataFrame, entity: str, x: str, y:
 def nearest(rows: DataFrame, gold: DataFrame, x: str, y: str, key: str, width: float) -> DataFrame:
     """key, gold_id, distance (sum of both coordinates' differences), dx and dy of the nearest gold row, ties by gold_id; none without gold rows.
 
+    Rows and gold rows of one place are looked up as one, of gold rows the least gold_id.
     Rows meet the gold rows of their cell and its neighbours; a hit that is nearer than the edge of
     these cells is final, and the rest goes on with cells of double width, until one cell holds all.
     """
-    g = gold.select("gold_id", F.col(x).alias("_gx"), F.col(y).alias("_gy"))
+    g = gold.groupBy(F.col(x).alias("_gx"), F.col(y).alias("_gy")).agg(F.min("gold_id").alias("gold_id"))
     span = gold.agg(F.max(F.greatest(F.abs(x), F.abs(y)))).first()[0]
     reach = rows.agg(F.max(F.greatest(F.abs(x), F.abs(y)))).first()[0]
     if span is None or reach is None:
         return rows.select(key).limit(0).select(key, F.lit(0).cast("long").alias("gold_id"), *[F.lit(0.0).alias(c) for c in ("distance", "dx", "dy")])
-    todo, done = rows.select(key, x, y), None
+    todo, done = stored(rows.select(x, y).distinct(), "todo"), None
+    of_rows = lambda found: rows.select(key, x, y).join(found, [x, y]).select(key, "gold_id", "distance", "dx", "dy")
     while True:
         cell = lambda c, k=0: (F.floor(F.col(c) / width) + k).cast("long")  # noqa: E731,B023
         steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
         spread = todo.withColumn("_s", F.explode(steps)).withColumns({"_cx": cell(x) + F.col("_s.i"), "_cy": cell(y) + F.col("_s.j")}).drop("_s")
         met = spread.join(g.withColumns({"_cx": cell("_gx"), "_cy": cell("_gy")}), ["_cx", "_cy"])
         dx, dy = F.abs(F.col(x) - F.col("_gx")), F.abs(F.col(y) - F.col("_gy"))
-        best = met.groupBy(key, x, y).agg(F.min(F.struct(F.round(dx + dy, 9).alias("d"), "gold_id", dx.alias("dx"), dy.alias("dy"))).alias("b"))
+        best = met.groupBy(x, y).agg(F.min(F.struct(F.round(dx + dy, 9).alias("d"), "gold_id", dx.alias("dx"), dy.alias("dy"))).alias("b"))
         last = width > 2 * max(span, reach, 1e-9)  # three cells a side hold everything
         edge = F.least(*[e for c in (x, y) for e in (F.col(c) - (F.floor(F.col(c) / width) - 1) * width, (F.floor(F.col(c) / width) + 2) * width - F.col(c))])
         final = best if last else best.where(F.col("b.d") < edge)
-        found = stored(final.select(key, F.col("b.gold_id").alias("gold_id"), F.col("b.d").alias("distance"), "b.dx", "b.dy"), "nearest")
+        found = stored(final.select(x, y, F.col("b.gold_id").alias("gold_id"), F.col("b.d").alias("distance"), "b.dx", "b.dy"), "nearest")
         done = found if done is None else done.unionByName(found)
         if last:
-            return done
-        todo, width = stored(todo.join(found, key, "left_anti"), "todo"), width * 2
+            return of_rows(done)
+        todo, width = stored(todo.join(found, [x, y], "left_anti"), "todo"), width * 2
         if todo.isEmpty():
-            return done
+            return of_rows(done)
 
 
 def miss_reason(entity: Column, gold_entity: Column, dx: Column, dy: Column, tol_x: float, tol_y: float) -> Column:

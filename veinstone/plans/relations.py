@@ -63,7 +63,7 @@ def gold_and_pred(spark, sf_dir):
 
 def tolerance_candidates(spark, sf_dir):
     pred, gold = gold_and_pred(spark, sf_dir)
-    return joins.band_candidates(pred, gold, "entity", "x", "y", 2.0, 8.0).groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("k").alias("n_pred"), F.countDistinct("gold_id").alias("n_gold"))
+    return joins.band_counts(pred, gold, "entity", "x", "y", 2.0, 8.0, "k")
 
 
 GOLD = f"""p as (select {KEY} as k, l_quantity as x, l_extendedprice / 1000 as y, l_returnflag as entity, l_linestatus as status, l_discount as d from lineitem),
