@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 
 from veinstone.llm import langid, license, lm, mixing, neardup, pieces, pii, quality, queries, vectors, warc
-from veinstone.llm.common import crc_mod
+from veinstone.llm.common import coded_words, crc_mod
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -545,6 +545,34 @@ def test_lm_weight_is_chosen_on_all_training_texts(spark):
         assert got[k] == pytest.approx(want, rel=1e-6), k
 
 
+def test_lm_codes_chunks_without_wide_copies():
+    """Beside its results, coding takes less than 8 bytes a token, and so do the pairs' hashes and keys, which equal those made at once."""
+    import tracemalloc
+
+    def extra(make, held):
+        tracemalloc.start()
+        out = make()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, (peak - held(out)) / 1_200_000
+
+    texts = pa.array([f"a{k}  b{k % 7} c\n" * 100 for k in range(4000)])
+    (codes, ends, distinct), more = extra(lambda: coded_words(texts), lambda x: x[0].nbytes + x[1].nbytes)
+    assert len(codes) == 1_200_000 and ends.tolist() == list(range(0, 1_200_001, 300)) and distinct[codes[301]].as_py() == "b1" and more < 8
+    words = lm.hash_strings(distinct)
+    hashes, more = extra(lambda: lm.pair_hashes_alone(words, codes, ends), lambda x: x.nbytes)
+    assert more < 20 and (hashes == lm.pair_hashes(words, codes, ends)[2]).all()
+    train = np.arange(len(hashes)) % 7 != 2
+    want = list(lm.sharded(5, *lm.keyed(hashes, train), 40))
+    spread = lm.mix64(np.arange(1_200_000).astype(np.uint64))
+    wide = list(lm.sharded(5, *lm.keyed(spread, train[:1_200_000]), 40))
+    assert list(lm.sharded_marks(5, hashes, train, 40)) == want
+    got, more = extra(lambda: list(lm.sharded_marks(5, spread, train[:1_200_000], 40)), lambda x: sum(len(r[3]) + len(r[4]) for r in x))
+    assert got == wide and more < 8
+    none = np.zeros(0, np.uint64)
+    assert list(lm.sharded_marks(5, none, none.astype(bool), 3)) == [] and len(lm.pair_hashes_alone(words, codes[:0], np.zeros(1, np.int64))) == 0
+
+
 def test_lm_filters_hold_pairs_in_shards():
     """Levels of packed keys come back in the keys' order from any number of shards, at one error rate."""
     rng = np.random.default_rng(3)

@@ -192,8 +192,7 @@ def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     empty = pc.index(distinct, "").as_py()
     if empty >= 0:
         full = codes != empty
-        before = np.concatenate([[0], np.cumsum(full)])
-        return codes[full], before[ends], distinct
+        return codes[full], ends - np.searchsorted(np.flatnonzero(~full), ends), distinct
     return codes, ends, distinct
 
 
@@ -201,7 +200,8 @@ def hash_strings(values: pa.Array, key: str = "veinstone-words-") -> np.ndarray:
     """A 64-bit hash of each string, the same in every process."""
     import pandas as pd
 
-    return pd.util.hash_array(values.to_numpy(zero_copy_only=False).astype(object), hash_key=key[:16].ljust(16, "0"), categorize=False)
+    own = lambda x: pd.util.hash_array(x.to_numpy(zero_copy_only=False).astype(object), hash_key=key[:16].ljust(16, "0"), categorize=False)
+    return np.concatenate([own(values.slice(at, 1 << 16)) for at in range(0, max(len(values), 1), 1 << 16)])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

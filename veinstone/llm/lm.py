@@ -212,12 +212,23 @@ def keyed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def marked(hashes: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """keyed for counts of 0 and 1, in place of hashes: they are sorted with the count as last bit."""
+    sort_marked(hashes, train)
+    return unmarked(hashes)
+
+
+def sort_marked(hashes: np.ndarray, train: np.ndarray) -> None:
     hashes >>= np.uint64(16)
     hashes <<= np.uint64(1)
-    hashes |= train.astype(np.uint64)
+    hashes |= train
     hashes.sort()
-    starts = np.flatnonzero(np.concatenate([[True], hashes[1:] >> np.uint64(1) != hashes[:-1] >> np.uint64(1)])[: len(hashes)])
-    counts = np.add.reduceat((hashes & np.uint64(1)).astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
+
+
+def unmarked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and counts of what sort_marked made, or of a stretch of whole keys of it."""
+    new = np.ones(len(hashes), bool)
+    np.greater(hashes[1:] ^ hashes[:-1], 1, out=new[1:])  # more than the last bit differs
+    starts = np.flatnonzero(new)
+    counts = np.add.reduceat((hashes & np.uint64(1)).view(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
     return hashes[starts] >> np.uint64(1), counts
 
 
@@ -234,6 +245,16 @@ def sharded(chunk: int, keys: np.ndarray, counts: np.ndarray, shards: int) -> It
         yield chunk, k, int(cuts[k + 1] - cuts[k]), pack_longs(np.diff(keys[mine].astype(np.int64), prepend=0)), pack_longs(counts[mine])
 
 
+def sharded_marks(chunk: int, hashes: np.ndarray, train: np.ndarray, shards: int) -> Iterator[tuple]:
+    """sharded of marked, a shard at a time."""
+    sort_marked(hashes, train)
+    cuts = np.searchsorted(hashes, np.array([-(-(k << 48) // shards) << 1 for k in range(shards + 1)], np.uint64)).tolist()
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if b > a:
+            keys, counts = unmarked(hashes[a:b])
+            yield chunk, k, len(keys), pack_longs(np.diff(keys.astype(np.int64), prepend=0)), pack_longs(counts)
+
+
 def probe_shard(table: pa.Table) -> pa.Table:
     """One shard: its filter, filled with the counts of all chunks, and the levels of each chunk's keys."""
     sizes = table.column("m").to_pylist()
@@ -266,6 +287,24 @@ def pair_hashes(words: np.ndarray, places: np.ndarray, ends: np.ndarray) -> tupl
     return left, right, mix64(every[left] * np.uint64(0x9FB21C651E98DF25) + every[right])
 
 
+def pair_hashes_alone(words: np.ndarray, places: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes that pair_hashes gives, of about BLOCK tokens at a time."""
+    tokens = ends + np.arange(len(ends))
+    out = np.empty(tokens[-1], np.uint64)
+    cuts = np.unique(np.searchsorted(tokens, np.arange(0, tokens[-1] + BLOCK, BLOCK)).clip(max=len(ends) - 1)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        out[tokens[a] : tokens[b]] = pair_hashes(words, places[ends[a] : ends[b]], ends[a : b + 1] - ends[a])[2]
+    return out
+
+
+def tally(codes: np.ndarray, n: int) -> np.ndarray:
+    """How often each of n codes occurs; few are widened at a time."""
+    out = np.zeros(n, np.int64)
+    for at in range(0, len(codes), 4 * BLOCK):
+        out += np.bincount(codes[at : at + 4 * BLOCK], minlength=n)
+    return out
+
+
 def pack(places: np.ndarray) -> bytes:
     """int32 places, byte by byte of their four, compressed."""
     return pa.compress(places.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True) if len(places) else b""
@@ -287,8 +326,7 @@ def coded(docs: DataFrame, training: Column, key: str, text: str, shards: int) -
             codes, ends, distinct = coded_words(pc.ascii_lower(texts_of(rows, "_text")))
             train = rows.column("_train").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
             sizes = np.diff(ends)
-            counts = np.bincount(codes[np.repeat(train, sizes)], minlength=len(distinct))
-            times = np.bincount(codes, minlength=len(distinct))
+            counts, times = tally(codes[np.repeat(train, sizes)], len(distinct)), tally(codes, len(distinct))
             some = np.flatnonzero(times)
             some = some[np.argsort(-times[some], kind="stable")]  # common words get small places, which pack well
             chunk = (part << 32) + turn
@@ -300,12 +338,17 @@ def coded(docs: DataFrame, training: Column, key: str, text: str, shards: int) -
             yield rows_of(n, WORDS, chunk=np.full(n, chunk), word=words, place=np.arange(n, dtype=np.int32), n=counts[some])
             n = rows.num_rows
             places = dense[codes]
+            del codes, distinct, dense, counts, times, some
             packed = pa.array([pack(places[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
             yield rows_of(n, TEXTS, chunk=np.full(n, chunk), key=rows.column("_key").combine_chunks(), held_out=~train, n_words=sizes, places=packed)
-            pairs = pair_hashes(hash_strings(words), places, ends)[2]
-            some = list(sharded(chunk, *marked(pairs, np.repeat(train, sizes + 1)), shards))
+            del rows, packed
+            pairs = pair_hashes_alone(hash_strings(words), places, ends)
+            del words, places
+            some = list(sharded_marks(chunk, pairs, np.repeat(train, sizes + 1), shards))
             del pairs
             yield rows_of(len(some), PAIRS, **{c: [x[k] for x in some] for k, c in enumerate(("chunk", "shard", "m", "keys", "counts"))})
+            del some
+            pa.default_memory_pool().release_unused()
 
     def rows_of(n: int, kind: int, /, **columns) -> pa.RecordBatch:
         columns["kind"] = np.full(n, kind, np.int32)
