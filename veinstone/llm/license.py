@@ -2,10 +2,17 @@
 
 A text is normalised (lower case, runs of anything but ASCII letters and digits to one blank), so
 that a notice that is wrapped into lines, indented or put in comments is one run of words again. A
-template of m words and the set B of bigrams is compared with windows of m words of the text: those
-at whose places at least a third of B would stand where the template has it. With the window's set A
-the template matches if 2|A∩B| / (|A|+|B|) >= threshold. A match that lies within a larger one, or
-in the place of a better one, does not count.
+template of m bigrams, with the set B of them, is compared with windows of m bigrams of the text.
+With the window's set A the template matches if 2|A∩B| / (|A|+|B|) >= threshold. Windows at whose
+places at least a third of B would stand where the template has it come first. Of the others, which
+are all counted, those that have more than a quarter of their places in common with a match are
+another view of it; from left to right, the first that is not and those that have as much in common
+with it are one place, whose best window (the first of equals) is a match. So every window that
+reaches the threshold is a match or another view of one. A match that lies within a larger one, or in
+the place of a better one, does not count. (`duckdb_sql` has the windows of the first kind only.)
+
+All windows are counted by sorts, and only in texts that have enough of a template's bigrams close
+together outside the matches found before.
 
 The coefficient t needs |A∩B| >= t/(2-t)·|B|, so a text can only match templates of at most so many
 bigrams as it has hits among all templates' bigrams: most texts are done after one look at each of
@@ -87,6 +94,23 @@ def longs(values: list[int]) -> Column:
     return F.expr(f"cast(split('{','.join(map(str, values))}', ',') as array<bigint>)")
 
 
+def up_to(values: Column, n: Column) -> Column:
+    """For each a from 0 to n - 1 how many of the values (none below 0) are at most a, by one sort."""
+    marks = F.transform(F.sequence(F.lit(0), n - 1), lambda a: 2 * a + 1)
+    return bind(F.sort_array(F.concat(F.transform(values, lambda v: 2 * v), marks)), lambda both: F.filter(F.transform(both, lambda x, j: F.when(x % 2 == 1, j - F.shiftright(x, 1))), lambda x: x.isNotNull()))
+
+
+def distinct_counts(grams: Column, at: Column, m: Column) -> Column:
+    """For each place how many different bigrams stand at the places `at` (ascending) among the m from there on.
+
+    An occurrence counts in the windows that start behind the same bigram's last one before it and not behind itself.
+    """
+    seen = F.sort_array(F.transform(at, lambda i: F.struct(F.get(grams, i).alias("gram"), i.alias("i"))))
+    before = lambda seen, x, j: F.when(F.get(seen, j - 1)["gram"] == x["gram"], F.get(seen, j - 1)["i"] + 1)
+    since = bind(seen, lambda seen: F.transform(seen, lambda x, j: F.greatest(F.lit(0), x["i"] - (m - 1), before(seen, x, j))))
+    return F.zip_with(up_to(since, F.size(grams)), up_to(F.transform(at, lambda i: i + 1), F.size(grams)), lambda a, b: a - b)
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None, tenths: int = THRESHOLD_TENTHS) -> DataFrame:
     """One row per document: n_matches (windows that match a template), licenses (their templates, distinct, sorted, comma-joined), best_dice (thousandths, floor; 0 without a match)."""
     templates = templates_of() if templates is None else templates
@@ -94,30 +118,69 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
     every = sorted({h for hashes in known.values() for h in hashes})
     g, p = F.col("_g"), F.col("_p")
     # |A| bounds of template size s, in integers: t|A| <= (2-t)s and ts <= (2-t)|A| with t = tenths/10
-    fits = lambda n, s: (F.lit(tenths) * n <= (20 - tenths) * s) & (F.lit(tenths * s) <= (20 - tenths) * n)
+    fits = lambda n, s: (F.lit(tenths) * n <= (20 - tenths) * s) & (tenths * s <= (20 - tenths) * n)
+
+    def match(rank: Column, m: Column, s: Column, start: Column, n: Column, k: Column) -> Column:
+        """The window there, if its n bigrams, k of them the template's, reach the threshold."""
+        return F.when(fits(n, s) & (20 * k >= tenths * (n + s)), F.struct(start.cast("int").alias("start"), F.least(start + m, F.size(g)).cast("int").alias("end"), F.floor(2000 * k / (n + s)).cast("long").alias("dice"), rank.alias("rank")))
 
-    def matches_of(rank: int, hashes: list[int], hits: Column) -> Column:
+    def by_votes(rank: int, hashes: list[int], hits: Column) -> Column:
+        """For a template of which the text has enough bigrams: rank, sizes, the places of its bigrams in the text and the matches found by votes."""
         # the template's bigrams by place, and its set
         placed, own, m, s = longs(hashes), longs(sorted(set(hashes))), len(hashes), len(set(hashes))
-        need = -(-s // 3)
+        need, least = -(-s // 3), -(-tenths * s // (20 - tenths))
 
         def window(start: Column) -> Column:
-            def found(a: Column) -> Column:
-                n = F.size(a)
-                return bind(F.size(F.array_intersect(a, own)), lambda k: F.when(fits(n, s) & (20 * k >= tenths * (n + s)), F.struct(start.cast("int").alias("start"), F.least(start + m, F.size(g)).cast("int").alias("end"), F.floor(2000 * k / (n + s)).cast("long").alias("dice"), F.lit(rank).alias("rank"))))
-
-            return bind(F.array_distinct(F.slice(g, start + 1, m)), found)
+            return bind(F.array_distinct(F.slice(g, start + 1, m)), lambda a: bind(F.size(F.array_intersect(a, own)), lambda k: match(F.lit(rank), F.lit(m), F.lit(s), start, F.size(a), k)))
 
         def windows(starts: Column) -> Column:
             """Of the sorted places at which the template would have to start, those with enough votes."""
-            return F.transform(F.filter(starts, lambda x, i: F.coalesce(x == F.get(starts, i + (need - 1)), F.lit(False)) & F.coalesce(x != F.get(starts, i - 1), F.lit(True))), window)
+            voted = F.filter(starts, lambda x, i: F.coalesce(x == F.get(starts, i + (need - 1)), F.lit(False)) & F.coalesce(x != F.get(starts, i - 1), F.lit(True)))
+            return F.filter(F.transform(voted, window), lambda x: x.isNotNull())
+
+        def found(hit: Column) -> Column:
+            starts = F.array_sort(F.transform(hit, lambda x: F.greatest(x["i"] - x["k"] + 1, F.lit(0))))
+            return F.struct(F.lit(rank).alias("rank"), F.lit(m).alias("m"), F.lit(s).alias("s"), F.lit(least).alias("least"), F.transform(hit, lambda x: x["i"]).alias("at"), bind(starts, windows).alias("found"))
 
-        aligned = F.filter(F.transform(p, lambda i: bind(F.array_position(placed, F.get(g, i)), lambda k: F.when(k > 0, F.greatest(i - k.cast("int") + 1, F.lit(0))))), lambda x: x.isNotNull())
+        # the places of the template's bigrams in the text, and where in the template they first stand
+        hit = F.filter(F.transform(p, lambda i: F.struct(i.alias("i"), F.array_position(placed, F.get(g, i)).cast("int").alias("k"))), lambda x: x["k"] > 0)
         enough = lambda n: (20 - tenths) * n >= tenths * s
-        return F.when(enough(F.size(hits)) & enough(F.size(F.array_intersect(own, hits))), bind(F.array_sort(aligned), windows))
+        return F.when(enough(F.size(hits)) & enough(F.size(F.array_intersect(own, hits))), bind(hit, found))
+
+    def everywhere(t: Column) -> Column:
+        """The matches found by votes and, of all other windows that match apart from these, the best of each place."""
+        at, found, m, s = t["at"], t["found"], t["m"], t["s"]
+        n = F.size(g)
+
+        def others(ranks: Column) -> Column:
+            def shares(x: Column, length: Column) -> Column:
+                """Whether more than a quarter of length is shared with a match found, the last that starts up to x or the first behind (others share less)."""
+                with_one = lambda o: o.isNotNull() & (4 * (F.least(o["end"], x["end"]) - F.greatest(o["start"], x["start"])) > length)
+                return bind(F.get(ranks, x["start"]), lambda r: with_one(F.get(found, r - 1)) | with_one(F.get(found, r)))
+
+            def next_window(state: Column, y: Column) -> Column:
+                # kept: the best window of each place; end: that of the first window in the last place
+                kept, last = state["kept"], F.get(state["kept"], F.size(state["kept"]) - 1)
+                before = lambda end: 4 * (end - y["start"]) > y["end"] - y["start"]
+                better = F.when(y["dice"] > last["dice"], F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(y))).otherwise(kept)
+                both = lambda k, e: F.struct(k.alias("kept"), e.alias("end"))
+                return F.when(before(state["end"]), both(better, state["end"])).when(before(last["end"]), state).otherwise(both(F.concat(kept, F.array(y)), y["end"]))
+
+            def all_windows(own: Column) -> Column:
+                every = F.transform(distinct_counts(g, F.sequence(F.lit(0), n - 1), m), lambda c, start: match(t["rank"], m, s, start, c, F.get(own, start)))
+                apart = F.filter(every, lambda x: x.isNotNull() & ~shares(x, x["end"] - x["start"]))
+                start = F.struct(F.slice(found, 1, 0).alias("kept"), F.lit(-1).alias("end"))
+                return F.concat(found, F.aggregate(apart, start, next_window, lambda state: state["kept"]))
+
+            # a match holds at least `least` of the template's bigrams, so without a window of so many places apart from those found there is none
+            spans = F.transform(at, lambda i, j: F.struct(i.alias("start"), (F.get(at, j + (t["least"] - 1)) + 1).alias("end")))
+            close = F.exists(spans, lambda x: x["end"].isNotNull() & (x["end"] - x["start"] <= m) & ~shares(x, m))
+            return F.when(close, bind(distinct_counts(g, at, m), all_windows)).otherwise(found)
+
+        return bind(up_to(F.transform(found, lambda x: x["start"]), n), others)
 
     def matches(hits: Column) -> Column:
-        return F.filter(F.flatten(F.array_compact(F.array(*[matches_of(r, h, hits) for r, h in enumerate(known.values()) if h]))), lambda x: x.isNotNull())
+        return F.flatten(F.transform(F.array_compact(F.array(*[by_votes(r, h, hits) for r, h in enumerate(known.values()) if h])), everywhere))
 
     def outermost(found: Column) -> Column:
         def hidden(x: Column, o: Column) -> Column:
@@ -139,7 +202,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
 
 
 def duckdb_sql(docs: str = "documents", templates: dict[str, str] | None = None, tenths: int = THRESHOLD_TENTHS) -> str:
-    """The same by joins of all bigrams with all templates' bigrams."""
+    """The same by joins of all bigrams with all templates' bigrams, without the windows that have too few votes."""
     templates = templates_of() if templates is None else templates
     rows = ", ".join(f"({i}, '{n}', '{' '.join(normal_words(t))}')" for i, (n, t) in enumerate(templates.items()))
     return f"""
