@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veinstone.session import stored
+from veinstone.session import looked_up, stored
 
 
 def band_candidates(pred: DataFrame, gold: DataFrame, entity: str, x: str, y: str, tol_x: float, tol_y: float) -> DataFrame:
@@ -184,37 +185,105 @@ def matched_in_rounds(pred: DataFrame, gold: DataFrame, entity: str, x: str, y:
         pairs, n = left, m
 
 
-def nearest(rows: DataFrame, gold: DataFrame, x: str, y: str, key: str, width: float) -> DataFrame:
-    """key, gold_id, distance (sum of both coordinates' differences), dx and dy of the nearest gold row, ties by gold_id; none without gold rows.
+#: Gold rows of a cell that are few at any number of rows, that its array holds at most, and rows times gold rows above which it is cut; how often cells are cut.
+FEW, MOST, WORK, ROUNDS = 16, 1024, 1 << 16, 24
+#: Gold rows in all arrays up to which these are broadcast; gold rows of all cells to be cut, if also over a quarter of the rows, above which these go by pairs.
+ARRAYS, SPREAD = 1 << 20, 1 << 22
 
-    Rows and gold rows of one place are looked up as one, of gold rows the least gold_id.
-    Rows meet the gold rows of their cell and its neighbours; a hit that is nearer than the edge of
-    these cells is final, and the rest goes on with cells of double width, until one cell holds all.
+
+def closest(x: Column, y: Column, golds: Column, of_gold: tuple[str, ...] = ()) -> Column:
+    """Of an array of gold rows the nearest: d (9 digits), gold_id, dx, dy and of_gold, ties by gold_id. Only what is about as near as the nearest is rounded."""
+    far = lambda g: F.abs(x - g["_gx"]) + F.abs(y - g["_gy"])
+    one = lambda g: F.struct(F.round(far(g), 9).alias("d"), g["gold_id"].alias("gold_id"), F.abs(x - g["_gx"]).alias("dx"), F.abs(y - g["_gy"]).alias("dy"), *[g[c].alias(c) for c in of_gold])
+    least = F.array_min(F.transform(golds, far))
+    # an array of one binds the least distance, which would else be counted for each gold row
+    return F.transform(F.array(least), lambda m: F.array_min(F.transform(F.filter(golds, lambda g: far(g) <= m + 1e-8), one)))[0]
+
+
+def kept_near(golds: DataFrame, cells: DataFrame, on: list[str], of_gold: tuple[str, ...]) -> DataFrame:
+    """Per cell (_cx, _cy, the box of its rows) the gold rows that are as near to the box as the nearest can be to any point of it, among those of the cell it is cut from."""
+    g = [F.col(c).cast("double") for c in ("_gx", "_gy")]
+    near = sum((F.greatest(F.col(f"_min{i}") - g[i], g[i] - F.col(f"_max{i}"), F.lit(0.0)) for i in (0, 1)), F.lit(0.0))
+    far = sum((F.greatest(F.abs(F.col(f"_min{i}") - g[i]), F.abs(F.col(f"_max{i}") - g[i])) for i in (0, 1)), F.lit(0.0))
+    size = F.greatest(*[F.abs(c) for c in ("_min0", "_max0", "_min1", "_max1")])
+    met = golds.join(cells, on) if on else golds.crossJoin(F.broadcast(cells))
+    ends = looked_up(met.groupBy("_cx", "_cy").agg(F.min(far).alias("_end")), "ends")
+    slack = 1e-8 + 1e-14 * (F.col("_end") + size)  # more than rounding can change
+    return stored(met.join(ends, ["_cx", "_cy"]).where(near <= F.col("_end") + slack).select("_cx", "_cy", "_gx", "_gy", "gold_id", *of_gold), "kept")
+
+
+def nearest(rows: DataFrame, gold: DataFrame, x: str, y: str, key: str, width: float, of_rows: tuple[str, ...] = (), of_gold: tuple[str, ...] = ()) -> DataFrame:
+    """key, gold_id, distance (sum of both coordinates' differences), dx and dy of the nearest gold row, ties by gold_id, and the columns of_rows and of_gold; none without gold rows.
+
+    Gold rows of one place are looked up as one, the least gold_id. The rows' box is cut into cells,
+    width times a power of four, each with the gold rows that can be the nearest of any of its rows.
+    Cells are cut further while their rows times gold rows are many. Then a cell's gold rows are one
+    array and each row meets one array, so rows make no pairs and, while the arrays can be broadcast,
+    are not shuffled. Cells whose gold rows stay too many go by pairs of their places. Rows that are
+    not finite look at a gold row of each kind of place: their distances differ by kind only.
     """
-    g = gold.groupBy(F.col(x).alias("_gx"), F.col(y).alias("_gy")).agg(F.min("gold_id").alias("gold_id"))
-    span = gold.agg(F.max(F.greatest(F.abs(x), F.abs(y)))).first()[0]
-    reach = rows.agg(F.max(F.greatest(F.abs(x), F.abs(y)))).first()[0]
-    if span is None or reach is None:
-        return rows.select(key).limit(0).select(key, F.lit(0).cast("long").alias("gold_id"), *[F.lit(0.0).alias(c) for c in ("distance", "dx", "dy")])
-    todo, done = stored(rows.select(x, y).distinct(), "todo"), None
-    of_rows = lambda found: rows.select(key, x, y).join(found, [x, y]).select(key, "gold_id", "distance", "dx", "dy")
-    while True:
-        cell = lambda c, k=0: (F.floor(F.col(c) / width) + k).cast("long")  # noqa: E731,B023
-        steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        spread = todo.withColumn("_s", F.explode(steps)).withColumns({"_cx": cell(x) + F.col("_s.i"), "_cy": cell(y) + F.col("_s.j")}).drop("_s")
-        met = spread.join(g.withColumns({"_cx": cell("_gx"), "_cy": cell("_gy")}), ["_cx", "_cy"])
-        dx, dy = F.abs(F.col(x) - F.col("_gx")), F.abs(F.col(y) - F.col("_gy"))
-        best = met.groupBy(x, y).agg(F.min(F.struct(F.round(dx + dy, 9).alias("d"), "gold_id", dx.alias("dx"), dy.alias("dy"))).alias("b"))
-        last = width > 2 * max(span, reach, 1e-9)  # three cells a side hold everything
-        edge = F.least(*[e for c in (x, y) for e in (F.col(c) - (F.floor(F.col(c) / width) - 1) * width, (F.floor(F.col(c) / width) + 2) * width - F.col(c))])
-        final = best if last else best.where(F.col("b.d") < edge)
-        found = stored(final.select(x, y, F.col("b.gold_id").alias("gold_id"), F.col("b.d").alias("distance"), "b.dx", "b.dy"), "nearest")
-        done = found if done is None else done.unionByName(found)
-        if last:
-            return of_rows(done)
-        todo, width = stored(todo.join(found, [x, y], "left_anti"), "todo"), width * 2
-        if todo.isEmpty():
-            return of_rows(done)
+    spark, cell, before = rows.sparkSession, ["_cx", "_cy"], ["_px", "_py"]
+    rows = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*dict.fromkeys([key, x, y, *of_rows]))
+    finite = lambda *cs: reduce(Column.__and__, [F.abs(F.col(c).cast("double")) < float("inf") for c in cs])  # noqa: E731 - NaN is greater
+    shown = lambda t: t.withColumn("_b", closest(F.col(x), F.col(y), F.col("_golds"), of_gold)).select(key, "_b.gold_id", F.col("_b.d").alias("distance"), "_b.dx", "_b.dy", *of_rows, *[f"_b.{c}" for c in of_gold])
+    each = F.struct("_gx", "_gy", "gold_id", *of_gold)
+    g = gold.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("_gx"), F.col(y).alias("_gy"))
+    g = stored(g.agg(F.min("gold_id").alias("gold_id"), *[F.min_by(c, "gold_id").alias(c) for c in of_gold]), "gold")
+    kind = lambda c: F.when(finite(c), 0.0).otherwise(F.col(c).cast("double"))
+    kinds = g.groupBy(kind("_gx").alias("_kx"), kind("_gy").alias("_ky")).agg(F.min_by(each, "gold_id").alias("_g")).agg(F.collect_list("_g").alias("_golds")).where(F.size("_golds") > 0)
+    by_kind = lambda t: shown(t.crossJoin(F.broadcast(kinds)))
+
+    box = lambda ok: [f(F.when(ok, F.col(c).cast("double"))).alias(n + str(i)) for i, c in enumerate((x, y)) for n, f in (("_min", F.min), ("_max", F.max))]
+    fine = rows.where(finite(x, y))
+    top = rows.agg(F.count_if(~finite(x, y)).alias("odd"), F.count_if(finite(x, y)).alias("_n"), *box(finite(x, y))).first().asDict()
+    odd = top.pop("odd")
+    if not top["_n"] or g.where(finite("_gx", "_gy")).isEmpty():
+        return by_kind(rows)
+    out = [by_kind(rows.where(~finite(x, y)))] if odd else []
+
+    at = lambda w, names=cell: [(F.floor(F.col(c).cast("double") / w) if w else F.lit(0).cast("long")).alias(n) for c, n in zip((x, y), names)]
+    cells, w, leaves, n_golds = spark.range(1).select(*[F.lit(0).cast("long").alias(c) for c in cell], *[F.lit(v).alias(c) for c, v in top.items()]), None, [], 0
+    kept = kept_near(g.where(finite("_gx", "_gy")), cells, [], of_gold)
+    for turn in range(ROUNDS):
+        extent, n = F.greatest(F.col("_max0") - F.col("_min0"), F.col("_max1") - F.col("_min1")), F.col("_g")
+        leaf = (n <= MOST) & ((n <= FEW) | (F.col("_n") * n <= WORK) | (extent == 0))
+        state = F.when(leaf, "leaf").when((extent == 0) | F.lit(turn == ROUNDS - 1), "rest").otherwise("cut")
+        states = stored(cells.join(kept.groupBy(*cell).agg(F.count(F.lit(1)).alias("_g")), cell).select(*cell, "_g", extent.alias("extent"), state.alias("state")), "states")
+        says = {r["state"]: r for r in states.groupBy("state").agg(F.sum("_g").alias("n"), F.max("extent").alias("extent")).collect()}
+        if "cut" in says and says["cut"]["n"] > max(SPREAD, top["_n"] // 4):  # gold rows at equal distances, which cuts do not part
+            states = states.replace("cut", "rest", "state")
+            says["rest"] = says.pop("cut")
+        are = {s: looked_up(states.where(F.col("state") == s).select(*cell), s) for s in says}
+        if "leaf" in says:
+            arrays = kept.join(are["leaf"], cell).groupBy(*cell).agg(F.collect_list(each).alias("_golds"))
+            leaves.append((turn, w, stored(arrays.withColumn("_turn", F.lit(turn)), "leaves")))
+            n_golds += says["leaf"]["n"]
+        if "rest" in says:
+            out.append(shown(by_pairs(fine.select("*", *at(w)).join(are["rest"], cell), kept.join(are["rest"], cell), x, y, each)))
+        if "cut" not in says:
+            break
+        power = math.floor(math.log(min(says["cut"]["extent"], 1e308) / 4 / width, 4))
+        w, wide = max(width * 4.0**power, 1e-300), w
+        cut = are["cut"].toDF(*before)
+        cells = looked_up(fine.select(x, y, *at(wide, before), *at(w)).join(cut, before, "left_semi").groupBy(*before, *cell).agg(F.count(F.lit(1)).alias("_n"), *box(F.lit(True))), "cells")
+        kept = kept_near(kept.join(are["cut"], cell).withColumnsRenamed(dict(zip(cell, before))), cells, before, of_gold)
+    if leaves:
+        spots = F.array(*[F.struct(F.lit(turn).alias("_turn"), *at(w)) for turn, w, _ in leaves])
+        arrays, on = reduce(DataFrame.unionByName, [t for _, _, t in leaves]), ["_turn", *cell]
+        there = fine.withColumn("_s", F.explode(spots)).select(*fine.columns, "_s.*")
+        if n_golds > ARRAYS:  # each row finds its cell before it is shuffled
+            there = there.join(looked_up(arrays.select(*on), "leaf"), on)
+        out.append(shown(there.join(arrays if n_golds > ARRAYS else F.broadcast(arrays), on)))
+    return reduce(DataFrame.unionByName, out)
+
+
+def by_pairs(rows: DataFrame, golds: DataFrame, x: str, y: str, each: Column) -> DataFrame:
+    """rows with an array of the one gold row of their cell that is the nearest, over pairs of places. Pairs are made twice, for the distance and for its gold row, and never shuffled whole."""
+    spots, far = stored(rows.select(x, y, "_cx", "_cy").distinct(), "spots"), F.round(F.abs(F.col(x) - F.col("_gx")) + F.abs(F.col(y) - F.col("_gy")), 9)
+    golds = looked_up(golds, "golds")
+    least = spots.join(golds, ["_cx", "_cy"]).groupBy(x, y).agg(F.min(far).alias("_d"))
+    hits = spots.join(stored(least, "least"), [x, y]).join(golds, ["_cx", "_cy"]).where(far == F.col("_d"))
+    return rows.join(stored(hits.groupBy(x, y).agg(F.array(F.min_by(each, "gold_id")).alias("_golds")), "hits"), [x, y])
 
 
 def miss_reason(entity: Column, gold_entity: Column, dx: Column, dy: Column, tol_x: float, tol_y: float) -> Column:

@@ -84,7 +84,7 @@ def match_scores(spark, sf_dir):
 
 def nearest_gold(spark, sf_dir):
     pred, gold = gold_and_pred(spark, sf_dir)
-    near = joins.nearest(pred, gold, "x", "y", "k", 4.0).join(pred.select("k", "entity"), "k").join(gold.select("gold_id", F.col("entity").alias("gold_entity")), "gold_id")
+    near = joins.nearest(pred, gold.withColumn("gold_entity", F.col("entity")), "x", "y", "k", 4.0, ("entity",), ("gold_entity",))
     return near.select("k", "gold_id", F.round("distance", 6).alias("distance"), joins.miss_reason(F.col("entity"), F.col("gold_entity"), F.col("dx"), F.col("dy"), 2.0, 8.0).alias("reason"))
 
 
