@@ -278,12 +278,12 @@ def nearest(rows: DataFrame, gold: DataFrame, x: str, y: str, key: str, width: f
 
 
 def by_pairs(rows: DataFrame, golds: DataFrame, x: str, y: str, each: Column) -> DataFrame:
-    """rows with an array of the one gold row of their cell that is the nearest, over pairs of places. Pairs are made twice, for the distance and for its gold row, and never shuffled whole."""
-    spots, far = stored(rows.select(x, y, "_cx", "_cy").distinct(), "spots"), F.round(F.abs(F.col(x) - F.col("_gx")) + F.abs(F.col(y) - F.col("_gy")), 9)
-    golds = looked_up(golds, "golds")
-    least = spots.join(golds, ["_cx", "_cy"]).groupBy(x, y).agg(F.min(far).alias("_d"))
-    hits = spots.join(stored(least, "least"), [x, y]).join(golds, ["_cx", "_cy"]).where(far == F.col("_d"))
-    return rows.join(stored(hits.groupBy(x, y).agg(F.array(F.min_by(each, "gold_id")).alias("_golds")), "hits"), [x, y])
+    """rows with an array of the one gold row of their cell that is the nearest, over pairs of places. Pairs are made twice, for the distance and for the least gold_id at it, and neither sorted nor shuffled whole."""
+    at, far = [x, y, "_cx", "_cy"], F.abs(F.col(x) - F.col("_gx")) + F.abs(F.col(y) - F.col("_gy"))
+    spots, golds = stored(rows.select(*at).distinct(), "spots"), looked_up(golds, "golds")
+    least = stored(spots.join(golds, at[2:]).groupBy(*at).agg(F.min(far).alias("_d")), "least")
+    hits = least.join(golds, at[2:]).where((far <= F.col("_d") + 1e-8) & (F.round(far, 9) == F.round("_d", 9))).groupBy(*at).agg(F.min("gold_id").alias("gold_id"))
+    return rows.join(stored(hits.join(golds, [*at[2:], "gold_id"]).select(x, y, F.array(each).alias("_golds")), "hits"), [x, y])
 
 
 def miss_reason(entity: Column, gold_entity: Column, dx: Column, dy: Column, tol_x: float, tol_y: float) -> Column:
